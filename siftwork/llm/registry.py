@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import packing, token_files
+from . import packing, quality, secrets, token_files
 from .common import table
 
 
@@ -16,13 +16,26 @@ def op2_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
+def op4_secret_scan(spark, sf_dir):
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model, threshold=0.3)
+
+
 def op9_token_files(spark, sf_dir):
     root = token_files.write_token_files(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=0)
     return token_files.read_token_files(spark, root)
 
 
+_QUERIES = (op2_best_fit_packing, op4_secret_scan, op6_quality_classifier, op9_token_files)
+
+
 def queries():
-    return {"op2_best_fit_packing": op2_best_fit_packing, "op9_token_files": op9_token_files}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql():
