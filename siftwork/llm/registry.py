@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import packing, quality, secrets, token_files
+from . import decontaminate, licenses, packing, quality, secrets, token_files
 from .common import table
 
 
@@ -12,6 +12,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontamination(spark, sf_dir):
+    return decontaminate.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
 def op2_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=4096, end_id=1)
 
@@ -31,7 +35,11 @@ def op9_token_files(spark, sf_dir):
     return token_files.read_token_files(spark, root)
 
 
-_QUERIES = (op2_best_fit_packing, op4_secret_scan, op6_quality_classifier, op9_token_files)
+def op10_license_scan(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (op1_decontamination, op2_best_fit_packing, op4_secret_scan, op6_quality_classifier, op9_token_files, op10_license_scan)
 
 
 def queries():
