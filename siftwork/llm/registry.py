@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, packing, quality, secrets, token_files
+from . import decontaminate, fingerprints, licenses, packing, quality, secrets, token_files
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op6_quality_classifier(spark, sf_dir):
     return quality.score_documents(docs, model, threshold=0.3)
 
 
+def op7_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark, sf_dir):
     root = token_files.write_token_files(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=0)
     return token_files.read_token_files(spark, root)
@@ -39,7 +43,7 @@ def op10_license_scan(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_decontamination, op2_best_fit_packing, op4_secret_scan, op6_quality_classifier, op9_token_files, op10_license_scan)
+_QUERIES = (op1_decontamination, op2_best_fit_packing, op4_secret_scan, op6_quality_classifier, op7_fingerprints, op9_token_files, op10_license_scan)
 
 
 def queries():
