@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, licenses, packing, quality, secrets, token_files
+from . import decontaminate, fingerprints, jaccard_join, licenses, packing, quality, secrets, token_files
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op7_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"), n=5, threshold=0.8, recall=0.99)
+
+
 def op9_token_files(spark, sf_dir):
     root = token_files.write_token_files(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=0)
     return token_files.read_token_files(spark, root)
@@ -43,7 +47,7 @@ def op10_license_scan(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_decontamination, op2_best_fit_packing, op4_secret_scan, op6_quality_classifier, op7_fingerprints, op9_token_files, op10_license_scan)
+_QUERIES = (op1_decontamination, op2_best_fit_packing, op4_secret_scan, op6_quality_classifier, op7_fingerprints, op8_jaccard_join, op9_token_files, op10_license_scan)
 
 
 def queries():
