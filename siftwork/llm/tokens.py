@@ -14,8 +14,6 @@ import re
 
 import numpy as np
 
-_SPACES = "[\\s᠎]"
-_ADJACENT = re.compile(f"{_SPACES}[ \n]|[ \n]{_SPACES}")
 _SAFE = re.compile(f"(?<=[^\\s᠎]) (?=[^\\s᠎])")
 _WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _FIRST = "\0"
@@ -41,7 +39,7 @@ def mode_of(spec: dict) -> str:
 class UnitEncoder:
     """ids of texts as little-endian bytes; memory is bounded by ``keep`` units."""
 
-    def __init__(self, tokenizer_json: str, dtype: str = "<u4", keep: int = 300_000, chunk_chars: int = 1_500_000):
+    def __init__(self, tokenizer_json: str, dtype: str = "<u4", keep: int = 1_000_000, chunk_chars: int = 3_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -52,7 +50,7 @@ class UnitEncoder:
         self.special = [a["content"] for a in spec.get("added_tokens") or []]
         if self.special:
             self.sep, self.sep_id = self.special[-1], self.tok.token_to_id(self.special[-1])
-        self.cache: dict[str, bytes] = {"": b""} if self.mode == "word" else {_FIRST: b""}
+        self.cache: dict[str, bytes] = {}
 
     def _bytes(self, ids) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -60,10 +58,15 @@ class UnitEncoder:
     def _units(self, text: str) -> list[str]:
         if self.mode == "word":
             return text.replace("\n", " ").split(" ")
-        if _ADJACENT.search(text):
-            parts = _SAFE.split(text)
-        else:
+        # The library cuts a run of white space before its last character, so single
+        # spaces and newlines, and pairs of them before a word, are certain cuts.
+        if any(s in text for s in self.special):
+            return [_FIRST + text]
+        flat = text.replace("\n", " ")
+        if flat.isprintable() and "   " not in flat and not flat.endswith("  "):
             parts = text.replace("\n", " \n").split(" ")
+        else:
+            parts = _SAFE.split(text)
         parts[0] = _FIRST + parts[0]
         return parts
 
@@ -77,10 +80,13 @@ class UnitEncoder:
     def _encode(self, units: list[str]) -> dict[str, bytes]:
         out: dict[str, bytes] = {}
         joint, alone = [], []
+        marked = any(s in "\n".join(units) for s in self.special)
         for u in units:
-            (alone if any(s in u for s in self.special) else joint).append(u)
+            (alone if marked and any(s in u for s in self.special) else joint).append(u)
+        if not self.special:
+            joint, alone = [], units
         texts = [self.sep.join(map(self._text, joint[i : i + 256])) for i in range(0, len(joint), 256)]
-        for i, e in enumerate(self.tok.encode_batch(texts, add_special_tokens=False) if texts else []):
+        for i, e in enumerate(self.tok.encode_batch_fast(texts, add_special_tokens=False) if texts else []):
             group = joint[256 * i : 256 * i + 256]
             ids = np.array(e.ids, dtype=np.int64)
             cuts = np.flatnonzero(ids == self.sep_id)
@@ -107,25 +113,15 @@ class UnitEncoder:
             for p in parts:
                 new.update(p)
             new -= self.cache.keys()
-            ids = self._encode(list(new)) if new else {}
-            if len(self.cache) < self.keep:
-                self.cache.update(ids)
-                look = self.cache
-            else:
-                look = _Both(ids, self.cache)
+            if new:
+                if len(self.cache) + len(new) > self.keep:  # begin anew with what is in use
+                    new = set().union(*parts)
+                    used = new & self.cache.keys()
+                    self.cache = {u: self.cache[u] for u in used}
+                    new -= used
+                self.cache.update(self._encode(list(new)))
             for p in parts:
-                yield b"".join(map(look.__getitem__, p))
-
-
-class _Both(dict):
-    """New units first, then the kept ones."""
-
-    def __init__(self, new: dict, old: dict):
-        super().__init__(new)
-        self.old = old
-
-    def __missing__(self, key):
-        return self.old[key]
+                yield b"".join(map(self.cache.__getitem__, p))
 
 
 _encoders: dict[tuple, UnitEncoder] = {}
