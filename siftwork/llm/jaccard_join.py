@@ -96,7 +96,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return found.mapInArrow(run, "uid long, set binary").dropDuplicates(["uid"])
 
 
-def _split(buckets: DataFrame, sets: DataFrame, small: int, threshold: float, runs: int, depth: int) -> DataFrame:
+def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: float, runs: int, depth: int) -> DataFrame:
     """Split buckets with more than ``small`` members on further sampled n-grams."""
     done, now = None, buckets
     for level in range(1, depth + 1):
@@ -136,7 +136,7 @@ def _classes(rows: DataFrame, n: int, threshold: float, recall: float, small: in
     buckets = neardup.live_buckets(keys)
     wanted = materialise(buckets.select("uid").distinct().join(texts, "uid").select("uid", "doc"), "wanted")
     sets = materialise(sets_of(rows.select("doc", "uid", "text"), wanted, n), "sets")
-    buckets = _split(buckets, sets, small, threshold, runs_for(recall, threshold), depth)
+    buckets = split_buckets(buckets, sets, small, threshold, runs_for(recall, threshold), depth)
     linked = materialise(connected_components(neardup.links(buckets, sets, threshold)), "classes")
     members = linked.select(F.col("node").alias("uid"), "component").join(texts, "uid")
     named = members.groupBy("component").agg(F.min(F.struct("doc", "uid")).alias("first"))

@@ -26,8 +26,12 @@ from .common import discard, materialise
 
 #: Bytes of sets that one task takes of one bucket.
 PART_BYTES = 8_000_000
+#: Members of one bucket that one task takes.
+PART_ROWS = 4_000
 #: Rows that a broadcast may hold; beyond it the join is shuffled.
 BROADCAST_ROWS = 500_000
+#: The same for rows of one integer.
+BROADCAST_KEYS = 2_000_000
 
 
 def bounded(df: DataFrame, rows: int | None = None) -> DataFrame:
@@ -44,7 +48,8 @@ def live_buckets(keys: DataFrame) -> DataFrame:
     """
     live = keys.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("key")
     live = materialise(live, "live")
-    rows = materialise(keys.join(bounded(live), "key", "left_semi").distinct(), "members")
+    few = live.count() <= BROADCAST_KEYS
+    rows = materialise(keys.join(F.broadcast(live) if few else live, "key", "left_semi").distinct(), "members")
     same = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("uid")).alias("x"), F.min("uid").alias("lo"))
     one = same.groupBy("m", "x", "lo").agg(F.min("key").alias("key")).select("key")
     out = materialise(rows.join(one, "key", "left_semi"), "buckets")
@@ -124,8 +129,8 @@ def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int
     ``sets`` has (uid, set): sorted distinct 64-bit values as bytes.
     """
     rows = buckets.join(sets, "uid")
-    sized = rows.groupBy("key").agg(F.sum(F.length("set")).alias("bytes"), F.min("uid").alias("head"))
-    sized = materialise(sized.withColumn("parts", F.ceil(F.col("bytes") / part_bytes).cast("int")), "sized")
+    sized = rows.groupBy("key").agg(F.sum(F.length("set")).alias("bytes"), F.count(F.lit(1)).alias("m"), F.min("uid").alias("head"))
+    sized = materialise(sized.withColumn("parts", F.greatest(F.ceil(F.col("bytes") / part_bytes), F.ceil(F.col("m") / PART_ROWS)).cast("int")), "sized")
     large = sized.where("parts > 1")
     dealt = rows.join(sized.select("key", "head", "parts"), "key")
     dealt = dealt.select("key", "uid", "set", "parts", "head", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int").alias("part"))
@@ -154,7 +159,8 @@ def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int
     if large.isEmpty() or over.isEmpty():
         return out
     waiting = over.join(sets, "uid").join(sized.select("key", "parts"), "key")
-    room = waiting.groupBy("key").agg(F.sum(F.length("set")).alias("bytes")).withColumn("blocks", F.ceil(F.col("bytes") / part_bytes).cast("int")).select("key", "blocks")
+    room = waiting.groupBy("key").agg(F.sum(F.length("set")).alias("bytes"), F.count(F.lit(1)).alias("m"))
+    room = room.select("key", F.greatest(F.ceil(F.col("bytes") / part_bytes), F.ceil(F.col("m") / PART_ROWS)).cast("int").alias("blocks"))
     mine = waiting.join(room, "key").select("key", "uid", "set", F.lit(True).alias("mine"), F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     theirs = rows.join(sized.where("parts > 1").select("key", "parts"), "key").join(room, "key")
     theirs = theirs.select("key", "uid", "set", F.lit(False).alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int").alias("part"))

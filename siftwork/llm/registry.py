@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, jaccard_join, licenses, packing, quality, secrets, token_files
+from . import decontaminate, fingerprints, jaccard_join, licenses, linededup, packing, quality, secrets, substrings, token_files
 from .common import table
 
 
@@ -20,10 +20,18 @@ def op2_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=4096, end_id=1)
 
 
+def op3_line_dedup(spark, sf_dir):
+    return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), removed_col="n_removed")
+
+
 def op4_secret_scan(spark, sf_dir):
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_substring_dedup(spark, sf_dir):
+    return substrings.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -47,7 +55,7 @@ def op10_license_scan(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_decontamination, op2_best_fit_packing, op4_secret_scan, op6_quality_classifier, op7_fingerprints, op8_jaccard_join, op9_token_files, op10_license_scan)
+_QUERIES = (op1_decontamination, op2_best_fit_packing, op3_line_dedup, op4_secret_scan, op5_substring_dedup, op6_quality_classifier, op7_fingerprints, op8_jaccard_join, op9_token_files, op10_license_scan)
 
 
 def queries():

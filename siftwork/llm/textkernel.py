@@ -11,6 +11,8 @@ import numpy as np
 
 _ASCII_WORD = np.zeros(256, bool)
 _ASCII_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _PINV = np.uint64(pow(int(_P), -1, 2**64))
 _powers: dict[str, np.ndarray] = {}
@@ -39,11 +41,13 @@ def _pow(base: np.uint64, n: int) -> np.ndarray:
 class Words:
     """Words of a chunk of texts: byte starts and ends, hash, index of the text."""
 
-    def __init__(self, texts: list[str], lower: bool = True):
+    def __init__(self, texts: list[str], lower: bool = True, ascii_lower: bool = False):
         raws = [(t.lower() if lower else t).encode("utf-8", "surrogatepass") for t in texts]
         self.sizes = np.array([len(r) + 1 for r in raws], np.int64)
         self.bounds = np.concatenate(([0], np.cumsum(self.sizes)))
         self.bytes = np.frombuffer(b"\n".join(raws) + b"\n" if raws else b"", np.uint8)
+        if ascii_lower:  # keeps every offset
+            self.bytes = _LOWER[self.bytes]
         n = len(self.bytes)
         isw = _ASCII_WORD[self.bytes]
         edge = np.diff(isw.astype(np.int8), prepend=0, append=0)
@@ -63,6 +67,33 @@ class Words:
         return mix((self.total[ends] - self.total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def min_hashes(values: np.ndarray, cut: np.ndarray, count: int) -> np.ndarray:
+    """(count, sets): minima of ``count`` 32-bit hash functions over each set.
+
+    Set i is values[cut[i]:cut[i+1]]; none may be empty.
+    """
+    base = (mix(values) >> np.uint64(32)).astype(np.uint32)
+    seeds = mix(np.arange(1, 2 * count + 1, dtype=np.uint64))
+    out = np.empty((count, len(cut) - 1), np.uint32)
+    for j in range(count if len(cut) > 1 else 0):
+        h = (base ^ np.uint32(seeds[2 * j] & np.uint64(0xFFFFFFFF))) * np.uint32((seeds[2 * j + 1] & np.uint64(0xFFFFFFFF)) | np.uint64(1))
+        h ^= h >> np.uint32(15)
+        out[j] = np.minimum.reduceat(h, cut[:-1])
+    return out
+
+
+def band_keys(minima: np.ndarray, rows: int) -> np.ndarray:
+    """(sets, bands) 64-bit keys, each of ``rows`` minima in a row."""
+    bands = len(minima) // rows
+    out = np.empty((minima.shape[1], bands), np.uint64)
+    for b in range(bands):
+        key = np.full(minima.shape[1], b + 1, np.uint64)
+        for r in range(rows):
+            key = key * np.uint64(0x100000001B3) + minima[b * rows + r]
+        out[:, b] = mix(key)
+    return out
+
+
 def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of each k words in a row; n-k+1 of them (none if there are fewer words)."""
     n = len(hashes) - k + 1
