@@ -412,7 +412,7 @@ class EntityRef:
 
 @dataclass(frozen=True, eq=False)
 class RowRef:
-    """The row a lambda sees: joined entities by alias, else the root's attributes."""
+    """The row a lambda sees: after a join, entities by alias; else the root's attributes."""
 
     scope: Any
     root: str
@@ -430,7 +430,7 @@ class RowRef:
     def __getattr__(self, name: str):
         if name.startswith("__"):
             raise AttributeError(name)
-        return EntityRef(self.scope, name) if name in self.aliases else self.attr(name)
+        return EntityRef(self.scope, name) if name in self.aliases and len(self.aliases) > 1 else self.attr(name)
 
     def __getitem__(self, name: str):
-        return EntityRef(self.scope, name) if name in self.aliases else self.attr(name)
+        return EntityRef(self.scope, name) if name in self.aliases and len(self.aliases) > 1 else self.attr(name)
