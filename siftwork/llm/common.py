@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, once for each Spark context.
+
+    They need not have it installed; the archive is served by the driver.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_siftwork_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    where = os.path.join(tempfile.mkdtemp(prefix="siftwork-"), "siftwork.zip")
+    with zipfile.ZipFile(where, "w") as z:
+        for folder, _, files in os.walk(top):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(where)
+    sc._siftwork_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import materialise
+from .common import materialise, ship
 
 MEMBER = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("offset", pa.int64())])
 BINS = "fill int, done boolean, members array<struct<doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint>>"
@@ -96,6 +96,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end
     packed as any other row; an empty table gives no rows; other columns are
     ignored. Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset.
     """
+    ship(docs.sparkSession)
     shared = tokens.load(docs.sparkSession, tokenizer)
     end = end_id.to_bytes(4, "little")
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, ship
 from .textkernel import Words
 
 #: Frequent function words of the languages at hand.
@@ -164,6 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", id_col:
     driver thus holds at most ``bound`` rows of statistics. Null or other labels
     and null ids are passed over; of several labels of one id the smallest counts.
     """
+    ship(docs.sparkSession)
     mine = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label).cast("int").alias("_y"))
     mine = mine.where(F.col("_y").isin(0, 1) & F.col("_id").isNotNull() & ~held_out(F.col("_id"))).groupBy("_id").agg(F.min("_y").alias("_y"))
     sample = mine.orderBy(F.xxhash64("_id"), "_id").limit(bound)
@@ -188,6 +189,7 @@ def score_documents(docs: DataFrame, model: Forest, *, threshold: float = 0.3, i
     false); repeated rows are scored alike; an empty table gives no rows; other
     columns are ignored. Returns doc_id, held_out, score, predicted.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,6 +203,7 @@ def score_documents(docs: DataFrame, model: Forest, *, threshold: float = 0.3, i
 
 def keep_good(docs: DataFrame, model: Forest, *, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """The rows whose score reaches ``threshold``, with all their columns."""
+    ship(docs.sparkSession)
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 KINDS = ("assign", "access", "hex", "pem", "jwt", "key", "hexkey")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -169,5 +171,6 @@ def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             types = [pa.int64()] * 4 + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], ["doc_id", "n_assign", "n_access", "n_hex", "n_confirmed", "base_sha256", "spans"])
 
+    ship(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, n_confirmed long, base_sha256 string, spans string")

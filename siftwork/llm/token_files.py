@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import scratch_path
+from .common import scratch_path, ship
 
 NULL_ID = -(2**63)
 
@@ -82,6 +82,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, root: str | None = None,
     Returns the dataset's path.
     """
     spark = docs.sparkSession
+    ship(spark)
     root = root or scratch_path(spark, "tokens")
     shared = tokens.load(spark, tokenizer)
     dtype = id_type(shared.value, end_id)
@@ -158,6 +159,7 @@ def read_token_files(spark: SparkSession, root: str) -> DataFrame:
     if not index["shards"]:
         return spark.createDataFrame([], schema)
     dtype = index["dtype"]
+    ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
