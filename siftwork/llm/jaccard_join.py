@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import neardup
-from .common import chunks, discard, materialise
+from .common import chunks, discard, materialise, ship
 from .components import connected_components
 from .textkernel import Words, mix, shingles
 
@@ -66,22 +66,25 @@ def text_sets(texts: list[str], n: int) -> Iterator[np.ndarray]:
 
 
 def sampled_keys(docs: DataFrame, n: int, threshold: float, runs: int) -> DataFrame:
-    """(key, uid) of the first level, for (uid, text) rows."""
+    """From (uid, text) rows, one row per text: uid, keys of the first level, n, bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = _seeds(runs, 0)
         for b in batches:
             pick = dict(zip(b.column(0).to_pylist(), range(b.num_rows), strict=True))
             uids, texts = list(pick), b.column(1).take(pa.array(list(pick.values()), pa.int64())).to_pylist()
-            keys, owners = [], []
-            for uid, grams in zip(uids, text_sets(texts, n), strict=True):
-                for k in choose(grams, seeds, threshold):
-                    keys.append(k)
-                    owners += [uid] * len(k)
+            keys, ends, sizes, bits = [], [0], [], []
+            for grams in text_sets(texts, n):
+                mine = choose(grams, seeds, threshold)
+                keys += mine
+                ends.append(ends[-1] + sum(map(len, mine)))
+                sizes.append(len(grams))
+                bits.append(neardup.bitmap(grams))
             flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(owners, pa.int64())], ["key", "uid"])
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), listed, pa.array(sizes, pa.int64()), pa.array(bits, pa.binary())], ["uid", "keys", "n", "bits"])
 
-    return docs.mapInArrow(run, "key long, uid long")
+    return docs.mapInArrow(run, "uid long, keys array<bigint>, n long, bits binary")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -97,14 +100,21 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
 
 def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: float, runs: int, depth: int) -> DataFrame:
-    """Split buckets with more than ``small`` members on further sampled n-grams."""
+    """Split buckets with more than ``small`` members on further sampled n-grams.
+
+    A bucket that is mostly near its first member stays whole (see ``neardup.dense``).
+    """
     done, now = None, buckets
     for level in range(1, depth + 1):
-        sized = materialise(now.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "counts")
-        big = sized.where(F.col("m") > small)
-        fine = now.join(big.select("key"), "key", "left_anti")
+        sized = materialise(now.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > small), "counts")
+        if sized.isEmpty():
+            return now if done is None else done.unionByName(now)
+        big = now.join(sized, "key", "left_semi")
+        apart = sized.join(neardup.dense(big, sets, threshold), "key", "left_anti").select("key")
+        apart = materialise(apart, "apart")
+        fine = now.join(apart, "key", "left_anti")
         done = fine if done is None else done.unionByName(fine)
-        if big.isEmpty():
+        if apart.isEmpty():
             return done
         seeds = _seeds(runs, level)
 
@@ -119,12 +129,13 @@ def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: fl
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(owners, pa.int64())], ["key", "uid"])
 
-        parents = now.join(big.select("key"), "key", "left_semi").join(sets, "uid").select("key", "uid", "set")
+        parents = now.join(apart, "key", "left_semi").join(sets, "uid").select("key", "uid", "set")
         now = neardup.live_buckets(materialise(parents.mapInArrow(run, "key long, uid long"), "split"))
     return done.unionByName(now)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.select("doc_id", F.coalesce("doc_id", F.lit(_LOWEST)).alias("doc"), F.xxhash64("text").alias("uid"), "text")
 
@@ -132,8 +143,9 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _classes(rows: DataFrame, n: int, threshold: float, recall: float, small: int, depth: int, count: bool) -> DataFrame:
     """(uid, class_doc, class_uid, n_links) of every distinct text."""
     texts = materialise(rows.groupBy("uid").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies")), "texts")
-    keys = materialise(sampled_keys(rows.select("uid", "text"), n, threshold, runs_for(recall, threshold)), "keys")
-    buckets = neardup.live_buckets(keys)
+    sampled = materialise(sampled_keys(rows.select("uid", "text"), n, threshold, runs_for(recall, threshold)), "sampled")
+    met = neardup.live_buckets(sampled.select(F.explode("keys").alias("key"), "uid"))
+    buckets = neardup.live_buckets(neardup.prune(met, sampled.select("uid", "n", "bits"), threshold))
     wanted = materialise(buckets.select("uid").distinct().join(texts, "uid").select("uid", "doc"), "wanted")
     sets = materialise(sets_of(rows.select("doc", "uid", "text"), wanted, n), "sets")
     buckets = split_buckets(buckets, sets, small, threshold, runs_for(recall, threshold), depth)
@@ -148,11 +160,11 @@ def _classes(rows: DataFrame, n: int, threshold: float, recall: float, small: in
     else:
         full = full.withColumn("n_links", F.lit(None).cast("long"))
     out = materialise(full.select("uid", F.col("first.doc").alias("class_doc"), F.col("first.uid").alias("class_uid"), "n_links"), "full")
-    discard(texts, keys, wanted, sets, linked)
+    discard(texts, sampled, wanted, sets, linked)
     return out
 
 
-def jaccard_classes(docs: DataFrame, *, n: int = 5, threshold: float = 0.8, recall: float = 0.99, small: int = 1000, depth: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_classes(docs: DataFrame, *, n: int = 5, threshold: float = 0.8, recall: float = 0.99, small: int = 4000, depth: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: its class and its number of links.
 
     Two rows are linked if their sets of word n-grams have a Jaccard similarity of
@@ -172,7 +184,7 @@ def jaccard_classes(docs: DataFrame, *, n: int = 5, threshold: float = 0.8, reca
     return out.select("doc_id", F.when(F.col("class_doc") != _LOWEST, F.col("class_doc")).alias("class_id"), "n_links")
 
 
-def keep_one(docs: DataFrame, *, n: int = 5, threshold: float = 0.8, recall: float = 0.99, small: int = 1000, depth: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, *, n: int = 5, threshold: float = 0.8, recall: float = 0.99, small: int = 4000, depth: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each class, that with the least id, with all its columns.
 
     Null ids count as the least. Different texts under one id are different

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import neardup, units
-from .common import chunks, discard, materialise
+from .common import chunks, discard, materialise, ship
 
 _LOWEST = -(2**63)
 #: Removed lines that a broadcast may hold.
@@ -51,6 +51,7 @@ def dedup_lines(docs: DataFrame, *, threshold: float = 0.8, bands: int = 8, rows
     table gives no rows. ``removed_col`` names a column for the number of lines
     removed.
     """
+    ship(docs.sparkSession)
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST))
     narrow = docs.select(doc.alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     gone = removed_lines(narrow, threshold=threshold, bands=bands, rows=rows)

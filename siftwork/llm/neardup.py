@@ -115,6 +115,101 @@ def spanning_links(sets: Sets, threshold: float) -> tuple[list[tuple[int, int]],
     return links, group
 
 
+def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Runs of rows that agree in their first ``keys`` columns, from sorted batches."""
+    held: list[pa.Table] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        t = pa.Table.from_batches([batch])
+        cols = [t.column(i).to_numpy() for i in range(keys)]
+        new = np.zeros(t.num_rows, bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        new[0] = last is not None and any(c[0] != v for c, v in zip(cols, last, strict=True))
+        cuts = [0, *np.flatnonzero(new).tolist(), t.num_rows] if not new[0] else [*np.flatnonzero(new).tolist(), t.num_rows]
+        if new[0]:
+            yield pa.concat_tables(held)
+            held = []
+        for i, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if i and held:
+                yield pa.concat_tables(held)
+                held = []
+            held.append(t.slice(x, y - x))
+        last = [c[-1] for c in cols]
+    if held:
+        yield pa.concat_tables(held)
+
+
+def by_group(df: DataFrame, keys: list[str], f, schema: str) -> DataFrame:
+    """Apply ``f`` (table to tables) to each group; many small groups cost little."""
+    rest = [c for c in df.columns if c not in keys]
+    placed = df.select(*keys, *rest).repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending, rows = [], 0
+        for t in groups(batches, len(keys)):
+            out = f(t)
+            if out is not None and out.num_rows:
+                pending.append(out)
+                rows += out.num_rows
+            if rows >= 10_000:
+                yield from pa.concat_tables(pending).combine_chunks().to_batches()
+                pending, rows = [], 0
+        if pending:
+            yield from pa.concat_tables(pending).combine_chunks().to_batches()
+
+    return placed.mapInArrow(run, schema)
+
+
+def _first_of_each(t: pa.Table) -> pa.Table:
+    """One row per uid, in uid order."""
+    uids = t.column("uid").to_numpy()
+    return t.take(pa.array(np.unique(uids, return_index=True)[1]))
+
+
+BITS = 1024
+
+
+def bitmap(values: np.ndarray) -> bytes:
+    """Which of BITS slots a set's values fall into."""
+    flags = np.zeros(BITS, bool)
+    flags[(values >> np.uint64(20)) & np.uint64(BITS - 1)] = True
+    return np.packbits(flags).tobytes()
+
+
+def prune(buckets: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """Drop members of a bucket that can't reach the threshold with any other member.
+
+    ``sketches`` has (uid, n, bits). A value whose slot the other set leaves empty is
+    surely not shared, so a count of such slots bounds the similarity from above and
+    no link is lost. Buckets of more than PART_ROWS members pass as they are.
+    """
+    sized = materialise(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("m")), "counts")
+    fit = buckets.join(sized.where(F.col("m") <= PART_ROWS).select("key"), "key", "left_semi").join(sketches, "uid").select("key", "uid", "n", "bits")
+
+    def survivors(t: pa.Table) -> pa.Table | None:
+        t = _first_of_each(t)
+        if t.num_rows < 2:
+            return None
+        size = t.column("n").to_numpy()
+        bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(len(size), -1)
+        keep = np.zeros(len(size), bool)
+        for p in range(len(size)):
+            close = np.flatnonzero((size >= threshold * size[p]) & (size * threshold <= size[p]))
+            lost = np.bitwise_count(bits[p] & ~bits[close]).sum(1)
+            gone = np.bitwise_count(~bits[p] & bits[close]).sum(1)
+            most = np.minimum(size[p] - lost, size[close] - gone)
+            near = most >= threshold * (size[p] + size[close] - most) - 1e-9
+            keep[p] = near.sum() > 1  # itself is one
+        return t.select(["key", "uid"]).filter(pa.array(keep))
+
+    left = materialise(by_group(fit, ["key"], survivors, "key long, uid long"), "pruned")
+    whole = buckets.join(sized.where(F.col("m") > PART_ROWS).select("key"), "key", "left_semi")
+    return left.unionByName(whole.select("key", "uid"))
+
+
 def _edges(a, b, left=None) -> pa.Table:
     left = [False] * len(a) if left is None else left
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "left": pa.array(left, pa.bool_())})
@@ -123,27 +218,30 @@ def _edges(a, b, left=None) -> pa.Table:
 _EDGE = "a long, b long, left boolean"
 
 
+def _parts(rows: DataFrame, part_bytes: int) -> DataFrame:
+    """(key, m, parts, head) from (key, uid, bytes) rows."""
+    sized = rows.groupBy("key").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("m"), F.min("uid").alias("head"))
+    return sized.select("key", "m", F.greatest(F.ceil(F.col("bytes") / part_bytes), F.ceil(F.col("m") / PART_ROWS)).cast("int").alias("parts"), "head")
+
+
 def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int = PART_BYTES) -> DataFrame:
     """(a, b) links between uids of a bucket, verified by exact Jaccard.
 
-    ``sets`` has (uid, set): sorted distinct 64-bit values as bytes.
+    ``sets`` has (uid, set): sorted distinct 64-bit values as bytes. Sets are joined
+    to rows that already know their task, so they are moved once.
     """
-    rows = buckets.join(sets, "uid")
-    sized = rows.groupBy("key").agg(F.sum(F.length("set")).alias("bytes"), F.count(F.lit(1)).alias("m"), F.min("uid").alias("head"))
-    sized = materialise(sized.withColumn("parts", F.greatest(F.ceil(F.col("bytes") / part_bytes), F.ceil(F.col("m") / PART_ROWS)).cast("int")), "sized")
+    sizes = sets.select("uid", F.length("set").alias("bytes"))
+    sized = materialise(_parts(buckets.join(sizes, "uid"), part_bytes), "sized")
     large = sized.where("parts > 1")
-    dealt = rows.join(sized.select("key", "head", "parts"), "key")
-    dealt = dealt.select("key", "uid", "set", "parts", "head", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int").alias("part"))
+    dealt = buckets.join(sized.select("key", "head", "parts"), "key").withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int"))
     # The head goes to every part of its bucket.
-    heads = dealt.where("parts > 1 and uid = head").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.where("parts = 1 or uid <> head").unionByName(heads)
+    heads = large.select("key", F.col("head").alias("uid"), "head", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    dealt = dealt.where("parts = 1 or uid <> head").select("key", "uid", "head", "parts", "part").unionByName(heads)
 
     def part(t: pa.Table) -> pa.Table:
-        uids = np.array(t.column("uid").to_pylist(), np.int64)
-        order = np.argsort(uids, kind="stable")
-        blobs = t.column("set").to_pylist()
-        uids = uids[order]
-        found, group = spanning_links(Sets([blobs[i] for i in order]), threshold)
+        t = _first_of_each(t)
+        uids = t.column("uid").to_numpy()
+        found, group = spanning_links(Sets(t.column("set").to_pylist()), threshold)
         a, b = [int(uids[p]) for p, _ in found], [int(uids[q]) for _, q in found]
         parts, head = t.column("parts")[0].as_py(), t.column("head")[0].as_py()
         left = [False] * len(a)
@@ -153,49 +251,72 @@ def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int
             a, b, left = a + [t.column("key")[0].as_py()] * len(out), b + out, left + [True] * len(out)
         return _edges(a, b, left)
 
-    first = materialise(dealt.groupBy("key", "part").applyInArrow(part, _EDGE), "links")
+    first = materialise(by_group(dealt.join(sets, "uid"), ["key", "part"], part, _EDGE), "links")
     over = first.where("left").select(F.col("a").alias("key"), F.col("b").alias("uid"))
     out = first.where("not left").select("a", "b")
     if large.isEmpty() or over.isEmpty():
         return out
-    waiting = over.join(sets, "uid").join(sized.select("key", "parts"), "key")
-    room = waiting.groupBy("key").agg(F.sum(F.length("set")).alias("bytes"), F.count(F.lit(1)).alias("m"))
-    room = room.select("key", F.greatest(F.ceil(F.col("bytes") / part_bytes), F.ceil(F.col("m") / PART_ROWS)).cast("int").alias("blocks"))
-    mine = waiting.join(room, "key").select("key", "uid", "set", F.lit(True).alias("mine"), F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    theirs = rows.join(sized.where("parts > 1").select("key", "parts"), "key").join(room, "key")
-    theirs = theirs.select("key", "uid", "set", F.lit(False).alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int").alias("part"))
+    room = _parts(over.join(sizes, "uid"), part_bytes).select("key", F.col("parts").alias("blocks"))
+    room = materialise(room.join(sized.select("key", "parts"), "key"), "room")
+    mine = over.join(room, "key").select("key", "uid", F.lit(True).alias("mine"), F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    theirs = buckets.join(room, "key").select("key", "uid", F.lit(False).alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int").alias("part"))
 
     def meet(t: pa.Table) -> pa.Table:
-        uids, mine_ = np.array(t.column("uid").to_pylist(), np.int64), np.array(t.column("mine").to_pylist())
+        uids, mine_ = t.column("uid").to_numpy(), np.array(t.column("mine").to_pylist())
         s = Sets(t.column("set").to_pylist())
         others = np.flatnonzero(~mine_)
         flat, cut = s.flat(others)
         a, b = [], []
         for p in np.flatnonzero(mine_):
             hit = others[s.near(p, others, flat, cut, threshold)]
+            hit = hit[uids[hit] != uids[p]]
             a += [int(uids[p])] * len(hit)
             b += uids[hit].tolist()
         return _edges(a, b)
 
-    second = mine.unionByName(theirs).groupBy("key", "block", "part").applyInArrow(meet, _EDGE).where("a <> b").select("a", "b")
+    second = by_group(mine.unionByName(theirs).join(sets, "uid"), ["key", "block", "part"], meet, _EDGE).select("a", "b")
     return out.unionByName(materialise(second, "links"))
 
 
+def dense(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Keys of the buckets of which at least half is near the first member.
+
+    Such a group shares nearly all its values, so no split takes it apart, while
+    linking it to its first member settles it in one pass.
+    """
+    heads = buckets.groupBy("key").agg(F.min("uid").alias("uid"))
+    heads = materialise(heads.join(sets, "uid").select("key", F.col("set").alias("head_set")), "heads")
+    rows = buckets.join(sets, "uid").join(bounded(heads), "key").select("key", "set", "head_set")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near = []
+            for x, h in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                x, h = np.frombuffer(x, np.uint64), np.frombuffer(h, np.uint64)
+                both = len(np.intersect1d(x, h, assume_unique=True))
+                near.append(both >= threshold * (len(x) + len(h) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(near, pa.bool_())], ["key", "near"])
+
+    shares = rows.mapInArrow(run, "key long, near boolean").groupBy("key").agg(F.avg(F.col("near").cast("double")).alias("share"))
+    return materialise(shares.where("share >= 0.5").select("key"), "dense")
+
+
 def count_links(classes: DataFrame, sets: DataFrame, threshold: float, part_bytes: int = PART_BYTES // 2) -> DataFrame:
     """(uid, n): rows whose set reaches the threshold against uid's, its own copies excluded.
 
     ``classes`` has (uid, component, copies). All members of a class are compared
     with each other, in tiles of two bounded parts; only sums leave a tile.
     """
-    rows = classes.join(sets, "uid")
-    sized = rows.groupBy("component").agg(F.sum(F.length("set")).alias("bytes")).select("component", F.ceil(F.greatest(F.col("bytes"), F.lit(1)) / part_bytes).cast("int").alias("parts"))
-    placed = rows.join(sized, "component").withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int"))
+    sizes = sets.select("uid", F.length("set").alias("bytes"))
+    sized = _parts(classes.join(sizes, "uid").withColumnRenamed("component", "key"), part_bytes)
+    placed = classes.withColumnRenamed("component", "key").join(sized.select("key", "parts"), "key").withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int"))
     tiled = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    tiled = tiled.select("component", "uid", "set", "copies", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    tiled = tiled.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "uid", "copies", "part").join(sets, "uid")
 
     def tile(t: pa.Table) -> pa.Table:
-        uids, part = t.column("uid").to_pylist(), np.array(t.column("part").to_pylist())
-        copies, i, j = np.array(t.column("copies").to_pylist(), np.int64), t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        t = _first_of_each(t)
+        uids, part = t.column("uid").to_numpy(), t.column("part").to_numpy()
+        copies, i, j = t.column("copies").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
         s = Sets(t.column("set").to_pylist())
         total = np.zeros(len(uids), np.int64)
         left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
@@ -206,9 +327,9 @@ def count_links(classes: DataFrame, sets: DataFrame, threshold: float, part_byte
             total[p] += copies[hit].sum()
             if i != j:
                 total[hit] += copies[p]
-        return pa.table({"uid": pa.array(uids, pa.int64()), "n": pa.array(total)})
+        return pa.table({"uid": pa.array(uids), "n": pa.array(total)})
 
-    return tiled.groupBy("component", "i", "j").applyInArrow(tile, "uid long, n long").groupBy("uid").agg(F.sum("n").alias("n"))
+    return by_group(tiled, ["key", "i", "j"], tile, "uid long, n long").groupBy("uid").agg(F.sum("n").alias("n"))
 
 
 def set_batches(rows: Iterator[tuple[int, np.ndarray]], limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:

@@ -165,10 +165,12 @@ def unit_sets(docs: DataFrame, wanted: DataFrame, kind) -> DataFrame:
         for batch in batches:
             yield from neardup.set_batches(rows(batch))
 
-    return found.mapInArrow(run, "uid long, set binary").dropDuplicates(["uid"])
+    # A unit that stands in two texts of one batch of documents may come twice; the
+    # tasks that compare sets pass over repeats.
+    return found.mapInArrow(run, "uid long, set binary")
 
 
-def unit_classes(docs: DataFrame, units: DataFrame, kind, *, threshold: float, small: int = 1000, depth: int = 2, recall: float = 0.99) -> DataFrame:
+def unit_classes(docs: DataFrame, units: DataFrame, kind, *, threshold: float, small: int = 4000, depth: int = 2, recall: float = 0.99) -> DataFrame:
     """(node, component) among the units that are near another, different one."""
     keys = units.where("size(keys) > 0").select(F.explode("keys").alias("key"), "uid")
     buckets = neardup.live_buckets(keys)
