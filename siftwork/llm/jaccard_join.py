@@ -94,12 +94,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield from neardup.set_batches(zip(b.column(0).to_pylist(), text_sets(b.column(1).to_pylist(), n), strict=True))
+            yield from neardup.set_batches(zip(b.column(0).to_pylist(), (s.tobytes() for s in text_sets(b.column(1).to_pylist(), n)), strict=True))
 
     return found.mapInArrow(run, "uid long, set binary").dropDuplicates(["uid"])
 
 
-def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: float, runs: int, depth: int) -> DataFrame:
+def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: float, runs: int, depth: int, expand=neardup.as_sets) -> DataFrame:
     """Split buckets with more than ``small`` members on further sampled n-grams.
 
     A bucket that is mostly near its first member stays whole (see ``neardup.dense``).
@@ -110,7 +110,7 @@ def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: fl
         if sized.isEmpty():
             return now if done is None else done.unionByName(now)
         big = now.join(sized, "key", "left_semi")
-        apart = sized.join(neardup.dense(big, sets, threshold), "key", "left_anti").select("key")
+        apart = sized.join(neardup.dense(big, sets, threshold, expand), "key", "left_anti").select("key")
         apart = materialise(apart, "apart")
         fine = now.join(apart, "key", "left_anti")
         done = fine if done is None else done.unionByName(fine)
@@ -121,7 +121,7 @@ def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: fl
         def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 keys, owners = [], []
-                for key, uid, blob in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                for key, uid, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), expand(b.column(2).to_pylist()), strict=True):
                     own = mix(seeds ^ np.uint64(key & (2**64 - 1)))
                     for k in choose(np.frombuffer(blob, np.uint64), own, threshold):
                         keys.append(k)

@@ -224,11 +224,17 @@ def _parts(rows: DataFrame, part_bytes: int) -> DataFrame:
     return sized.select("key", "m", F.greatest(F.ceil(F.col("bytes") / part_bytes), F.ceil(F.col("m") / PART_ROWS)).cast("int").alias("parts"), "head")
 
 
-def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int = PART_BYTES) -> DataFrame:
+def as_sets(blobs: list[bytes]) -> list[bytes]:
+    """Blobs that are sets already."""
+    return blobs
+
+
+def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int = PART_BYTES, expand=as_sets) -> DataFrame:
     """(a, b) links between uids of a bucket, verified by exact Jaccard.
 
-    ``sets`` has (uid, set): sorted distinct 64-bit values as bytes. Sets are joined
-    to rows that already know their task, so they are moved once.
+    ``sets`` has (uid, set): sorted distinct 64-bit values as bytes, or whatever
+    ``expand`` makes such sets of. They are joined to rows that already know their
+    task, so they are moved once.
     """
     sizes = sets.select("uid", F.length("set").alias("bytes"))
     sized = materialise(_parts(buckets.join(sizes, "uid"), part_bytes), "sized")
@@ -241,7 +247,7 @@ def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int
     def part(t: pa.Table) -> pa.Table:
         t = _first_of_each(t)
         uids = t.column("uid").to_numpy()
-        found, group = spanning_links(Sets(t.column("set").to_pylist()), threshold)
+        found, group = spanning_links(Sets(expand(t.column("set").to_pylist())), threshold)
         a, b = [int(uids[p]) for p, _ in found], [int(uids[q]) for _, q in found]
         parts, head = t.column("parts")[0].as_py(), t.column("head")[0].as_py()
         left = [False] * len(a)
@@ -263,7 +269,7 @@ def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int
 
     def meet(t: pa.Table) -> pa.Table:
         uids, mine_ = t.column("uid").to_numpy(), np.array(t.column("mine").to_pylist())
-        s = Sets(t.column("set").to_pylist())
+        s = Sets(expand(t.column("set").to_pylist()))
         others = np.flatnonzero(~mine_)
         flat, cut = s.flat(others)
         a, b = [], []
@@ -278,7 +284,7 @@ def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int
     return out.unionByName(materialise(second, "links"))
 
 
-def dense(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def dense(buckets: DataFrame, sets: DataFrame, threshold: float, expand=as_sets) -> DataFrame:
     """Keys of the buckets of which at least half is near the first member.
 
     Such a group shares nearly all its values, so no split takes it apart, while
@@ -291,7 +297,7 @@ def dense(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             near = []
-            for x, h in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            for x, h in zip(expand(b.column(1).to_pylist()), expand(b.column(2).to_pylist()), strict=True):
                 x, h = np.frombuffer(x, np.uint64), np.frombuffer(h, np.uint64)
                 both = len(np.intersect1d(x, h, assume_unique=True))
                 near.append(both >= threshold * (len(x) + len(h) - both) - 1e-9)
@@ -332,14 +338,14 @@ def count_links(classes: DataFrame, sets: DataFrame, threshold: float, part_byte
     return by_group(tiled, ["key", "i", "j"], tile, "uid long, n long").groupBy("uid").agg(F.sum("n").alias("n"))
 
 
-def set_batches(rows: Iterator[tuple[int, np.ndarray]], limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def set_batches(rows: Iterator[tuple[int, bytes]], limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """(uid, set) record batches of about ``limit`` bytes each."""
     uids, blobs, held = [], [], 0
     make = lambda: pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(blobs, pa.binary())], ["uid", "set"])
     for uid, values in rows:
         uids.append(uid)
-        blobs.append(values.tobytes())
-        held += values.nbytes + 16
+        blobs.append(values)
+        held += len(values) + 16
         if held >= limit:
             yield make()
             uids, blobs, held = [], [], 0

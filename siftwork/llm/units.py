@@ -49,9 +49,25 @@ def _ranges(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class Lines:
-    """Lines that have a word; shingles of ``k`` (8 at most) bytes of the lower-cased line."""
+    """Lines that have a word; shingles of ``k`` (8 at most) bytes of the lower-cased line.
 
-    k = 8
+    Between tasks a line travels as its bytes, an eighth of its set.
+    """
+
+    k, part_bytes = 8, neardup.PART_BYTES // 8
+
+    def blob(self, u: Units, i: int, values: np.ndarray) -> bytes:
+        return u.kernel.bytes[u.start[i] : u.end[i]].tobytes()
+
+    def expand(self, blobs: list[bytes]) -> list[bytes]:
+        out = []
+        for a, b in chunks([len(x) for x in blobs], _CHUNK):
+            w = Words([b"\n".join(blobs[a:b]).decode("utf-8", "surrogatepass")], lower=False)
+            end = np.cumsum([len(x) + 1 for x in blobs[a:b]]) - 1
+            start = np.concatenate(([0], end[:-1] + 1))
+            values, cut = self.shingles(Units(w, end, end, start, end, end))
+            out += [np.unique(values[x:y]).tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)]
+        return out
 
     def units(self, texts: list[str]) -> Units:
         w = Words(texts)
@@ -82,7 +98,13 @@ class Sentences:
     so end one too, so that the cuts depend on the content alone.
     """
 
-    least, n, long = 5, 5, 48
+    least, n, long, part_bytes = 5, 5, 48, neardup.PART_BYTES
+
+    def blob(self, u: Units, i: int, values: np.ndarray) -> bytes:
+        return np.unique(values).tobytes()
+
+    def expand(self, blobs: list[bytes]) -> list[bytes]:
+        return blobs
 
     def units(self, texts: list[str]) -> Units:
         w = Words(texts, lower=False, ascii_lower=True)
@@ -160,7 +182,7 @@ def unit_sets(docs: DataFrame, wanted: DataFrame, kind) -> DataFrame:
                 u = u.take(keep & np.isin(u.uid, want))
                 values, cut = kind.shingles(u)
                 for i, uid in enumerate(u.uid.tolist()):
-                    yield uid, np.unique(values[cut[i] : cut[i + 1]])
+                    yield uid, kind.blob(u, i, values[cut[i] : cut[i + 1]])
 
         for batch in batches:
             yield from neardup.set_batches(rows(batch))
@@ -177,8 +199,8 @@ def unit_classes(docs: DataFrame, units: DataFrame, kind, *, threshold: float, s
     near = materialise(buckets.select("uid").distinct(), "near")
     wanted = materialise(units.join(neardup.bounded(near), "uid", "left_semi").groupBy("uid").agg(F.min("doc").alias("doc")), "wanted")
     sets = materialise(unit_sets(docs, wanted, kind), "sets")
-    buckets = split_buckets(buckets, sets, small, threshold, runs_for(recall, threshold), depth)
-    out = materialise(connected_components(neardup.links(buckets, sets, threshold)), "classes")
+    buckets = split_buckets(buckets, sets, small, threshold, runs_for(recall, threshold), depth, kind.expand)
+    out = materialise(connected_components(neardup.links(buckets, sets, threshold, kind.part_bytes, kind.expand)), "classes")
     discard(near, wanted, sets)
     return out
 
