@@ -28,16 +28,23 @@ from .common import discard, materialise
 PART_BYTES = 8_000_000
 #: Members of one bucket that one task takes.
 PART_ROWS = 4_000
-#: Rows that a broadcast may hold; beyond it the join is shuffled.
-BROADCAST_ROWS = 500_000
-#: The same for rows of one integer.
-BROADCAST_KEYS = 2_000_000
+#: Rows of a few integers that a broadcast may hold (about 100 MB of them in memory);
+#: beyond it the join is shuffled.
+BROADCAST_ROWS = 2_000_000
+#: The same for rows with arrays or blobs: bytes in all.
+BROADCAST_BYTES = 64_000_000
 
 
-def bounded(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most BROADCAST_ROWS rows."""
-    rows = df.count() if rows is None else rows
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def bounded(df: DataFrame, size=None) -> DataFrame:
+    """``df`` with a broadcast hint if it is surely small.
+
+    Rows of a few integers are counted against BROADCAST_ROWS. For others ``size``
+    is a column with a row's bytes, whose sum is held against BROADCAST_BYTES.
+    """
+    if size is None:
+        return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    total = df.agg(F.coalesce(F.sum(size + 64), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
 def live_buckets(keys: DataFrame) -> DataFrame:
@@ -48,8 +55,7 @@ def live_buckets(keys: DataFrame) -> DataFrame:
     """
     live = keys.groupBy("key").agg(F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("key")
     live = materialise(live, "live")
-    few = live.count() <= BROADCAST_KEYS
-    rows = materialise(keys.join(F.broadcast(live) if few else live, "key", "left_semi").distinct(), "members")
+    rows = materialise(keys.join(bounded(live), "key", "left_semi").distinct(), "members")
     same = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("uid")).alias("x"), F.min("uid").alias("lo"))
     one = same.groupBy("m", "x", "lo").agg(F.min("key").alias("key")).select("key")
     out = materialise(rows.join(one, "key", "left_semi"), "buckets")
@@ -292,7 +298,7 @@ def dense(buckets: DataFrame, sets: DataFrame, threshold: float, expand=as_sets)
     """
     heads = buckets.groupBy("key").agg(F.min("uid").alias("uid"))
     heads = materialise(heads.join(sets, "uid").select("key", F.col("set").alias("head_set")), "heads")
-    rows = buckets.join(sets, "uid").join(bounded(heads), "key").select("key", "set", "head_set")
+    rows = buckets.join(sets, "uid").join(bounded(heads, F.length("head_set")), "key").select("key", "set", "head_set")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

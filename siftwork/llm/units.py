@@ -169,7 +169,7 @@ def unit_rows(docs: DataFrame, kind, bands: int, rows: int) -> DataFrame:
 def unit_sets(docs: DataFrame, wanted: DataFrame, kind) -> DataFrame:
     """(uid, set) of the wanted (uid, doc) units, from (doc, text) rows."""
     lists = materialise(wanted.groupBy("doc").agg(F.collect_list("uid").alias("uids")), "lists")
-    found = docs.join(neardup.bounded(lists), "doc").select("text", "uids")
+    found = docs.join(neardup.bounded(lists, 8 * F.size("uids")), "doc").select("text", "uids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(batch):
