@@ -1,15 +1,17 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame operations only.
 
-A document is the weighted set of its words, weighted by count. For each word a
-hash gives the gamma, gamma and uniform variates of consistent weighted sampling;
-the word with the least value wins and the sample is the pair of that word and the
-quantised weight. Two documents draw the same sample with the probability of their
-generalised Jaccard similarity (sum of lesser weights over sum of greater ones).
-
-A signature has ``bins`` samples. Instead of drawing each of them from all words,
-every word takes part in ``copies`` bins that its hash names, so the work grows
-with the words and not with words times bins. Likeness is the share of equal bins
-among those that either document fills.
+A document is the weighted set of its words, weighted by count. A count is a whole
+number, so a word of weight w is the w elements (word, 1) .. (word, w), each of which
+is as likely to be sampled as any other: a sample is a word and a place in its
+weight. Two documents draw the same sample with the probability of their generalised
+Jaccard similarity (sum of lesser weights over sum of greater ones), which is the
+Jaccard similarity of their elements, however uneven the weights are.
+
+A signature has ``bins`` samples, drawn in rounds over all elements: in the first
+``bins`` rounds an element's hash names the bin it enters, in the next ``bins`` rounds
+all elements enter bin 0, bin 1 and so on. A bin holds the first element that entered
+it (of those of one round, the one of least hash), so rounds after the last bin is
+filled change nothing and aren't run. Likeness is the share of equal bins.
 """
 
 from __future__ import annotations
@@ -22,31 +24,27 @@ from .native import words_of
 _LOWEST = -(2**63)
 
 
-def _uniforms(h: Column) -> tuple[Column, Column]:
-    """Two uniform variates in (0, 1) from the upper 52 bits of a hash."""
-    part = lambda bits: (F.shiftrightunsigned(h, bits).bitwiseAND(F.lit((1 << 26) - 1)).cast("double") + 0.5) / float(1 << 26)
-    return part(38), part(12)
+def signatures(terms: DataFrame, keys: list[str], *, bins: int = 128) -> DataFrame:
+    """Signatures of weighted sets given as (keys, term hash ``t``, weight ``w``, sum of the set's weights ``n``).
 
-
-def signatures(terms: DataFrame, keys: list[str], *, bins: int = 128, copies: int = 8) -> DataFrame:
-    """Signatures of weighted sets given as (keys, term hash ``t``, weight ``w``).
-
-    Returns the keys and ``sig``: an array of ``bins`` integers, 0 for an empty bin,
-    else 16 bits of the sample's identity.
+    Weights are whole numbers. Returns the keys and ``sig``: an array of ``bins``
+    integers (a power of two, 256 at most), 0 for an empty bin, else 16 bits of the
+    sample's identity. Only a set without weight has empty bins: sets of up to 8
+    elements run all rounds, larger ones 16 draws a bin or more, which leaves a bin
+    empty once in e**16 (9 million).
     """
-    each = terms.select(*keys, "t", F.log("w").alias("lw"), F.explode(F.array(*(F.lit(c) for c in range(copies)))).alias("c"))
-    hashed = each.select(*keys, "t", "lw", *(F.xxhash64("t", "c", F.lit(s)).alias(f"h{s}") for s in range(3)))
-    (u1, u2), (u3, u4), (beta, _) = (_uniforms(F.col(f"h{s}")) for s in range(3))
-    drawn = hashed.select(*keys, "t", "lw", F.col("h0").bitwiseAND(F.lit(bins - 1)).cast("int").alias("bin"), (-F.log(u1 * u2)).alias("r"), F.log(-F.log(u3 * u4)).alias("lc"), beta.alias("b"))
-    level = F.floor(F.col("lw") / F.col("r") + F.col("b"))
-    drawn = drawn.select(*keys, "t", "bin", "r", "lc", "b", level.alias("q"))
-    value = F.col("lc") - F.col("r") * (F.col("q") - F.col("b")) - F.col("r")
-    order = F.floor((F.greatest(F.least(value, F.lit(63.9)), F.lit(-63.9)) + 64.0) * float(1 << 40))
-    identity = F.pmod(F.xxhash64("t", "q"), F.lit(65535)) + 1
-    # The least value and its identity travel in one integer, so the aggregate is a plain minimum.
-    packed = drawn.select(*keys, "bin", F.when(F.col("q").isNotNull(), F.shiftleft(order, 16).bitwiseOR(identity)).alias("v"))
+    rounds = F.least(F.lit(2 * bins), F.ceil(F.lit(16.0 * bins) / F.greatest(F.col("n"), F.lit(1)))).cast("long")
+    spread = terms.select(*keys, "t", rounds.alias("rounds"), F.when(F.col("w") > 0, F.sequence(F.lit(0).cast("long"), F.col("w").cast("long") * rounds - 1)).alias("draws"))
+    each = spread.select(*keys, "t", "rounds", F.explode_outer("draws").alias("d"))
+    # The draw's round, and a hash whose bits are used once each: bin, identity, order.
+    drawn = each.select(*keys, F.col("d").isNotNull().alias("real"), (F.col("d") % F.col("rounds")).alias("r"), F.xxhash64("t", F.floor(F.col("d") / F.col("rounds")), F.col("d") % F.col("rounds")).alias("h"))
+    part = lambda shift, bits: F.shiftrightunsigned("h", shift).bitwiseAND(F.lit((1 << bits) - 1))
+    place = F.when(F.col("r") < bins, part(0, 8).bitwiseAND(F.lit(bins - 1))).otherwise(F.col("r") - bins).cast("int")
+    # The first to enter and its identity travel in one integer, so the aggregate is a plain minimum.
+    entered = F.shiftleft(F.col("r"), 54).bitwiseOR(F.shiftleft(part(26, 38), 16)).bitwiseOR(part(8, 16) % 65535 + 1)
+    packed = drawn.select(*keys, place.alias("bin"), F.when(F.col("real"), entered).alias("v"))
     least = packed.groupBy(*keys, "bin").agg(F.min("v").alias("v"))
-    sets = least.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("bin", F.col("v").bitwiseAND(F.lit(65535)).cast("int")))).alias("m"))
+    sets = least.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(F.coalesce("bin", F.lit(-1)).alias("bin"), F.col("v").bitwiseAND(F.lit(65535)).cast("int")))).alias("m"))
     return sets.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0))).alias("sig"))
 
 
@@ -62,7 +60,7 @@ def as_text(sig: Column) -> Column:
     return F.lower(F.array_join(F.transform(sig, lambda x: F.lpad(F.hex(x.cast("long")), 4, "0")), ""))
 
 
-def fingerprint_documents(docs: DataFrame, *, bins: int = 128, copies: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprint_documents(docs: DataFrame, *, bins: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint every whole text, its edited text, and compare with the next one's.
 
     The edited text has its last floor(n/2) code points replaced by the first as
@@ -103,9 +101,10 @@ def fingerprint_documents(docs: DataFrame, *, bins: int = 128, copies: int = 8,
     versions = texts.select("range", "at", "guest", "doc_id", "n_chars", "sha", F.posexplode(F.array("text", "edited")).alias("version", "body"))
     versions = versions.where("guest = 0 or version = 0")
     # A text without words keeps one row, of weight 0, which draws no sample.
-    words = versions.select(*key, F.explode_outer(words_of(F.col("body"))).alias("word"))
-    terms = words.groupBy(*key, F.xxhash64("word").alias("t")).agg(F.count("word").cast("double").alias("w"))
-    signed = signatures(terms, key, bins=bins, copies=copies)
+    split = versions.select(*key, words_of(F.col("body")).alias("list"))
+    words = split.select(*key, F.size("list").alias("n"), F.explode_outer("list").alias("word"))
+    terms = words.groupBy(*key, F.xxhash64("word").alias("t")).agg(F.count("word").alias("w"), F.max("n").alias("n"))
+    signed = signatures(terms, key, bins=bins)
     pairs = signed.groupBy(*key[:-1]).agg(F.max(F.when(F.col("version") == 0, F.col("sig"))).alias("s0"), F.max(F.when(F.col("version") == 1, F.col("sig"))).alias("s1"))
     nearby = pairs.withColumn("s2", F.lead("s0").over(Window.partitionBy("range").orderBy("guest", "at"))).where("guest = 0")
     return nearby.select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), as_text(F.col("s0")).alias("fingerprint"), as_text(F.col("s1")).alias("edited_fingerprint"), likeness(F.col("s0"), F.col("s1")).alias("near_edited"), likeness(F.col("s0"), F.col("s2")).alias("near_next"))

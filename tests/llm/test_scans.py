@@ -105,3 +105,18 @@ def test_fingerprints_estimate_generalised_jaccard(spark, prose):
     assert abs(sum(error)) / len(error) < 0.04 and max(map(abs, error)) < 0.2
     by = {r.doc_id: r for r in got}
     assert by[0].fingerprint == by[100].fingerprint and set(by[101].fingerprint) == {"0"} and by[101].near_edited == 1.0 and by[101].near_next == 1.0
+
+
+def test_fingerprints_of_heavy_words_and_of_few(spark):
+    """The collision rate is the generalised Jaccard where one word carries most of the weight."""
+    heavy, many, cases = 900, 300, []
+    for k in range(6):
+        shared, mine, yours = (" ".join(f"{p}{k}x{j}" for j in range(many)) for p in "smy")
+        cases += [((shared + f" a{k}" * heavy, shared + f" b{k}" * heavy), many / (many + 2 * heavy)), ((mine + f" c{k}" * heavy, yours + f" c{k}" * heavy), heavy / (heavy + 2 * many))]
+        cases += [((f"p{k} q{k} q{k}", f"p{k} q{k} r{k}"), 0.5), ((f"u{k}", f"u{k} u{k} u{k} v{k}"), 0.25)]
+    rows = [(i, t) for i, t in enumerate(t for pair, _ in cases for t in pair)]
+    got = {r.doc_id: r for r in fingerprints.fingerprint_documents(frame(spark, rows)).collect()}
+    assert all("0000" not in [r.fingerprint[i : i + 4] for i in range(0, 512, 4)] for r in got.values())
+    for kind in range(4):
+        seen = [(got[2 * i].near_next, want) for i, (_, want) in enumerate(cases) if i % 4 == kind]
+        assert abs(sum(a for a, _ in seen) / len(seen) - seen[0][1]) < 0.06 and all(abs(a - b) < 0.2 for a, b in seen)
