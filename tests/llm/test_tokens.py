@@ -1,3 +1,5 @@
+import collections
+import itertools
 import random
 import zlib
 
@@ -79,6 +81,36 @@ def test_packing_tree_rounds_keep_every_piece(spark, prose):
     assert max(total.values()) <= 128
 
 
+def test_packing_of_length_skewed_partitions_is_one_best_fit(spark, prose):
+    """Long documents in one partition, short ones in another: still as few sequences as one best-fit."""
+    rnd = random.Random(7)
+    words = prose(120).replace(".", "").split()
+    rows = [(i, " ".join(rnd.choices(words, k=rnd.randint(24, 30) if i < 150 else rnd.randint(2, 10)))) for i in range(450)]
+    df = spark.createDataFrame(rows[:150], "doc_id long, text string").coalesce(1).union(spark.createDataFrame(rows[150:], "doc_id long, text string").coalesce(1))
+    got = packing.pack_documents(df, WORD, capacity=128).collect()
+    sizes = [len(x) + 1 for x in ids_of(WORD, [t for _, t in rows])]
+    best = packing.best_fit([(n, [(i, 0, 0, n, 0, 0)]) for i, n in enumerate(sizes)], 128)
+    assert sorted(r.length for r in got) == sorted(sizes) and len({r.sequence_id for r in got}) == len(best)
+
+
+def test_plan_on_counts_is_best_fit():
+    rnd = random.Random(9)
+    for low, high in ((1, 100), (30, 60), (1, 9), (100, 100)):
+        sizes = [rnd.randint(low, high) for _ in range(2000)]
+        runs = packing.plan(dict(collections.Counter(sizes)), 100)
+        fill, spans = collections.Counter(), collections.defaultdict(list)
+        for size in set(sizes):
+            mine = [r for r in runs if r[0] == size]
+            for n in range(sizes.count(size)):
+                _, first, seq, each, offset = [r for r in mine if r[1] <= n][-1]
+                k = seq + (n - first) // each
+                fill[k] += size
+                spans[k].append((offset + (n - first) % each * size, size))
+        bins = packing.best_fit([(s, [(i, 0, 0, s, 0, 0)]) for i, s in enumerate(sizes)], 100)
+        assert sorted(fill.values()) == sorted(f for f, _ in bins)
+        assert all(a + n == b for xs in spans.values() for (a, n), (b, _) in itertools.pairwise(sorted(xs))) and all(min(xs)[0] == 0 for xs in spans.values())
+
+
 def test_packing_nothing(nothing):
     assert packing.pack_documents(nothing, WORD).count() == 0
 
