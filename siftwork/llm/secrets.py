@@ -29,8 +29,11 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")  # greedy from its first character: the whole run
 _ARMOUR = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{56,}={0,2}")
-_LONG_HEX = re.compile(r"[0-9A-Fa-f]{80,}")
+# The least are the 21 bytes of a SEC1 key on the smallest standard curve (112 bits).
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{28,}={0,2}")
+_LONG_HEX = re.compile(r"[0-9A-Fa-f]{42,}")
+_BASE64_LINES = re.compile(r"[A-Za-z0-9+/_-]{8,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+_HEX_LINES = re.compile(r"[0-9A-Fa-f]{12,}(?:[ \t]*\r?\n[ \t]*[0-9A-Fa-f]+)+")
 _OPENSSH = b"openssh-key-v1\0"
 
 
@@ -101,6 +104,42 @@ def is_private_key(data: bytes) -> bool:
     return version == 1 and tags[1] == 0x04 and all(t in (0xA0, 0xA1) for t in tags[2:])
 
 
+def wrapped_keys(text: str, lines: re.Pattern, decode, size) -> list[tuple[int, int]]:
+    """Spans of private keys whose encoding goes on over lines that follow each other.
+
+    The outer length of a key says how many characters it takes (``size`` of its
+    bytes), so other lines may stand before and after it. An OpenSSH container has no
+    outer length: it takes the lines as wide as its first and the one after them.
+    """
+    out = []
+    for m in lines.finditer(text):
+        parts = [(m.start() + x.start(), m.start() + x.end()) for x in re.finditer(r"[^\s=]+", m[0])]
+        total = [0]
+        for a, b in parts:
+            total.append(total[-1] + b - a)
+        after = {n: i for i, n in enumerate(total)}
+        i = 0
+        while i < len(parts):
+            a, b = parts[i]
+            head = decode(text[a : a + (b - a) // 4 * 4][:80]) or b""
+            stop = None
+            if len(head) >= 6 and head[0] == 0x30:
+                k = head[1] & 0x7F if head[1] & 0x80 else 0
+                n = 2 + k + (int.from_bytes(head[2 : 2 + k], "big") if k else head[1])
+                stop = after.get(total[i] + size(n)) if k <= 4 else None
+            elif head.startswith(_OPENSSH[:9]):
+                stop = i + 1
+                while stop < len(parts) and parts[stop - 1][1] - parts[stop - 1][0] == b - a >= parts[stop][1] - parts[stop][0]:
+                    stop += 1
+            if stop and stop > i + 1 and is_private_key(decode("".join(text[x:y] for x, y in parts[i:stop])) or b""):
+                end = parts[stop - 1][1]
+                out.append((a, end + len(re.match("={0,2}", text[end : end + 2])[0])))
+                i = stop
+            else:
+                i += 1
+    return out
+
+
 def is_signed_token(header: str, payload: str) -> bool:
     """Whether both parts are JSON objects and the header names an algorithm."""
     try:
@@ -137,10 +176,12 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
     if "eyJ" in text:
         out += [("jwt", *m.span()) for m in _TOKEN.finditer(text) if is_signed_token(m[1], m[2])]
     inside = [(a, b) for _, a, b in out]
-    for kind, pattern, decode in (("key", _BASE64, decode_base64), ("hexkey", _LONG_HEX, lambda x: bytes.fromhex(x[: len(x) // 2 * 2]))):
+    for kind, pattern, lines, decode, size in (("key", _BASE64, _BASE64_LINES, decode_base64, lambda n: -(-4 * n // 3)), ("hexkey", _LONG_HEX, _HEX_LINES, lambda x: bytes.fromhex(x[: len(x) // 2 * 2]), lambda n: 2 * n)):
+        wrapped = [(a, b) for a, b in wrapped_keys(text, lines, decode, size) if not any(x <= a < y for x, y in inside)]
+        out += [(kind, a, b) for a, b in wrapped]
         for m in pattern.finditer(text):
             raw = decode(m[0])
-            if raw and is_private_key(raw) and not any(a <= m.start() < b for a, b in inside):
+            if raw and is_private_key(raw) and not any(a <= m.start() < b for a, b in inside + wrapped):
                 out.append((kind, *m.span()))
     return out
 

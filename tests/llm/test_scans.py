@@ -45,6 +45,23 @@ def test_structures_are_confirmed_or_refused(spark):
     assert got[0] == f"pem:2:{2 + len(pem)}" and got[1] == f"jwt:0:{len(jwt)}" and got[2] == "" and got[3] == f"key:0:{len(b64)}" and got[4] == "" and f"hexkey:0:{2 * len(KEY)}" in got[5]
 
 
+def test_short_and_wrapped_keys_are_confirmed():
+    for n in (14, 24, 32):
+        short = der(0x30, der(2, b"\1") + der(4, bytes(range(1, n + 1))))
+        b64 = base64.b64encode(short).decode()
+        assert ("key", 2, 2 + len(b64)) in secrets.confirmed_spans(f"x {b64} y")
+        assert ("hexkey", 2, 2 + 2 * len(short)) in secrets.confirmed_spans(f"x {short.hex()} y")
+    ssh = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + b"\0\0\0\1" + b"k" * 150
+    for raw, kind, text in ((KEY, "key", base64.b64encode(KEY).decode()), (KEY, "hexkey", KEY.hex()), (ssh, "key", base64.b64encode(ssh).decode())):
+        for width, gap in ((64, "\n"), (76, "\r\n    ")):
+            body = gap.join(text[i : i + width] for i in range(0, len(text), width))
+            for before, after in (("", ""), ("the key\nfollows\n", ".\nEnd of it"), ("private: ", "\n\nbye")):
+                found = [x for x in secrets.confirmed_spans(before + body + after) if x[0] == kind]
+                assert found == [(kind, len(before), len(before) + len(body))], (kind, width, before, found)
+    broken = base64.b64encode(KEY[:-3]).decode()
+    assert not secrets.confirmed_spans("\n".join(broken[i : i + 64] for i in range(0, len(broken), 64)))
+
+
 def test_scans_handle_awkward_rows(awkward, nothing):
     df, rows = awkward
     for f in (secrets.scan_secrets, licenses.scan_licenses, fingerprints.fingerprint_documents):
