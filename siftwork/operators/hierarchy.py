@@ -7,20 +7,23 @@ from pyspark.sql import functions as F
 
 
 def _walk(pairs: DataFrame, start: DataFrame) -> DataFrame:
-    """Ids reached from ``start`` along (src, dst), ``start`` included; cycles end."""
-    return pairs.sparkSession.sql(
-        """WITH RECURSIVE reached(id, depth) AS (
-             SELECT id, 0 FROM {start}
-             UNION ALL
-             SELECT p.dst, r.depth + 1 FROM reached r JOIN {pairs} p ON p.src = r.id WHERE r.depth < 64)
-           SELECT DISTINCT id FROM reached""",
-        pairs=pairs,
-        start=start,
-    )
+    """Ids reached from ``start`` along (src, dst), ``start`` included, at any depth.
+
+    Each round follows the ids that the last one found first, until it finds none,
+    so cycles end.
+    """
+    pairs = pairs.select("src", "dst").persist()
+    fresh = reached = start.distinct().persist()
+    while not fresh.isEmpty():
+        after = fresh.join(pairs, fresh["id"] == pairs["src"]).select(F.col("dst").alias("id")).distinct()
+        fresh = after.join(reached, "id", "left_anti").localCheckpoint()
+        reached = reached.union(fresh).localCheckpoint()
+    pairs.unpersist()
+    return reached
 
 
 def below(table: DataFrame, key: str, parent: str, v, include: bool) -> DataFrame:
-    """The descendants of ``v`` (64 levels at most), with or without itself."""
+    """The descendants of ``v``, with or without itself."""
     pairs = table.select(F.col(parent).alias("src"), F.col(key).alias("dst")).where(F.col("src").isNotNull() & (F.col("src") != F.col("dst")))
     first = table.where(F.col(key) == v).select(F.col(key).alias("id"))
     out = _walk(pairs, first)

@@ -220,3 +220,12 @@ def test_date_bounds():
     assert dates.RANGES["this-week"](c).low == dt.datetime(2024, 3, 31)
     assert dates.RANGES["in-fiscal-period-and-year"](c, 2, 2023).low == dt.datetime(2023, 10, 1)
     assert len(dates.RANGES) == 43  # between and not-between stand apart
+
+
+def test_hierarchies_of_any_depth_and_cycles(spark):
+    from siftwork.operators import hierarchy
+
+    chain = spark.createDataFrame([(i, i - 1 if i else None) for i in range(71)] + [(100, 101), (101, 100)], "id long, parent long")
+    ids = lambda df: sorted(r.id for r in df.collect())
+    assert ids(hierarchy.below(chain, "id", "parent", 0, True)) == list(range(71))
+    assert ids(hierarchy.below(chain, "id", "parent", 100, True)) == [100, 101]
