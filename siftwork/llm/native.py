@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: ASCII characters that are no letters or digits, once letters are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Characters beyond ASCII that have a lower case.
+_CASED = r"[[\p{IsUppercase}\p{Lt}\p{Cn}]&&[^\x00-\x7F]]"
 
 
 def ascii_lower(text: Column) -> Column:
-    """Lower case, exact for what becomes A-Z's lower case.
+    """The text with A-Z lower-cased and everything else as it is; null counts as empty.
 
-    ``lower`` maps two other characters to ASCII letters; texts that hold one of
-    them take the slower character map. Null counts as empty.
+    ``lower`` does the same, and faster, on texts in which no other character has a
+    lower case.
     """
     text = F.coalesce(text, F.lit(""))
-    odd = F.contains(text, F.lit("K")) | F.contains(text, F.lit("İ"))
-    return F.when(odd, F.translate(text, _UPPER, _LOWER)).otherwise(F.lower(text))
+    same = (F.octet_length(text) == F.char_length(text)) | ~F.rlike(text, F.lit(_CASED))
+    return F.when(same, F.lower(text)).otherwise(F.translate(text, _UPPER, _LOWER))
 
 
 def words_of(text: Column) -> Column:
