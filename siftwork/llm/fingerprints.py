@@ -37,7 +37,7 @@ HOT = 4
 
 def rounds_of(n: Column, bins: int) -> Column:
     """Rounds that a text of ``n`` words runs."""
-    return F.when(n > 0, F.least(F.lit(2 * bins), F.ceil(F.lit(DRAWS * bins) / n))).otherwise(F.lit(0)).cast("long")
+    return F.when(n > 0, F.least(F.lit(2 * bins), F.ceil(F.lit(DRAWS * bins) / F.greatest(n, F.lit(1))))).otherwise(F.lit(0)).cast("long")
 
 
 def draws(terms: DataFrame, keys: list[str], *, bins: int) -> DataFrame:
@@ -52,7 +52,8 @@ def draws(terms: DataFrame, keys: list[str], *, bins: int) -> DataFrame:
     sized = terms.select(*keys, "kind", "t", "w0", "w1", r0.alias("r0"), r1.alias("r1"), F.greatest(r0, r1).alias("rounds"))
     count = F.greatest("w0", "w1") * F.col("rounds")
     spread = sized.select("*", F.explode(F.when(F.col("kind") > 0, F.array(F.lit(0).cast("long"))).when(count > 0, F.sequence(F.lit(0).cast("long"), count - 1))).alias("d"))
-    i, r = F.floor(F.col("d") / F.col("rounds")), F.col("d") % F.col("rounds")
+    by = F.greatest("rounds", F.lit(1))
+    i, r = F.floor(F.col("d") / by), F.col("d") % by
     drawn = spread.select(*keys, "kind", "t", i.alias("i"), r.alias("r"), "w0", "w1", "r0", "r1", F.xxhash64("t", i, r).alias("h"))
     # A hash's bits are used once each: bin, identity, order.
     part = lambda shift, bits: F.shiftrightunsigned("h", shift).bitwiseAND(F.lit((1 << bits) - 1))
