@@ -2,8 +2,10 @@
 
 A unit is a stretch of text that the tokenizer is certain to treat apart from its
 neighbours, so the ids of a text are the ids of its units in order. Repeated
-units are encoded once; new ones are encoded many at a time, joined by a special
-token that the library splits off before anything else.
+units are encoded once; new ones are encoded many at a time. Plain ones are joined as
+running text and told apart by the tokens that begin (byte level) or end (word level) a
+word; others are joined by a special token that the library splits off before
+anything else. A mark behind a letter is a token boundary, so it's cut off first.
 """
 
 from __future__ import annotations
@@ -17,6 +19,10 @@ import numpy as np
 _SAFE = re.compile(f"(?<=[^\\s᠎]) (?=[^\\s᠎])")
 _WORD_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _FIRST = "\0"
+#: Letters of which no Unicode version, normal form or lower case makes anything but one letter.
+_LETTERS = frozenset(c for c in map(chr, range(0x130)) if c.isalpha())
+#: Marks that are a token by themselves behind a letter and before white space.
+_MARKS = ",.;:!?"
 
 
 def mode_of(spec: dict) -> str:
@@ -39,7 +45,7 @@ def mode_of(spec: dict) -> str:
 class UnitEncoder:
     """ids of texts as little-endian bytes; memory is bounded by ``keep`` units."""
 
-    def __init__(self, tokenizer_json: str, dtype: str = "<u4", keep: int = 1_000_000, chunk_chars: int = 3_000_000):
+    def __init__(self, tokenizer_json: str, dtype: str = "<u4", keep: int = 1_000_000, chunk_chars: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -50,7 +56,18 @@ class UnitEncoder:
         self.special = [a["content"] for a in spec.get("added_tokens") or []]
         if self.special:
             self.sep, self.sep_id = self.special[-1], self.tok.token_to_id(self.special[-1])
+        # Units met lately and those of the time before, which move up when met again.
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks = {m: self._bytes(self.tok.encode(m, add_special_tokens=False).ids) for m in _MARKS}
+        # Which ids begin a word with white space (byte level) or end a word (word level).
+        vocab = self.tok.get_vocab()
+        self.edge = np.zeros(max(vocab.values()) + 1, bool)
+        word_end = (spec.get("model") or {}).get("end_of_word_suffix") or None
+        if self.mode == "byte":
+            self.edge[[i for t, i in vocab.items() if t[0] in "\u0120\u010a"]] = True
+        elif self.mode == "word" and word_end:
+            self.edge[[i for t, i in vocab.items() if t.endswith(word_end)]] = True
 
     def _bytes(self, ids) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -78,13 +95,43 @@ class UnitEncoder:
         return unit if unit[:1] == "\n" else " " + unit
 
     def _encode(self, units: list[str]) -> dict[str, bytes]:
+        """ids of units none of which is encoded yet."""
+        if any(s in "\n".join(units) for s in self.special):
+            return self._apart(units)
+        lines: list[str] = []
+        if self.mode == "byte":
+            plain = [u for u in units if u and u.isprintable() and " " not in u]
+            lines = [u for u in units if u[:1] == "\n" and len(u) > 1 and u[1:].isprintable() and " " not in u]
+        else:
+            plain = [u for u in units if u.isalpha() and _LETTERS.issuperset(u)]
+        done = self._running(plain, " ")
+        done.update(self._running(lines, ""))
+        if len(done) < len(units):
+            done.update(self._apart([u for u in units if u not in done]))
+        return done
+
+    def _running(self, units: list[str], gap: str, step: int = 512) -> dict[str, bytes]:
+        """ids of units as they stand in running text, one edge token to a unit."""
+        out: dict[str, bytes] = {}
+        groups = [units[i : i + step] for i in range(0, len(units), step)]
+        before, after = (gap, "") if self.mode == "byte" else ("", gap)
+        joined = [before + gap.join(g) + after for g in groups]
+        for group, e in zip(groups, self.tok.encode_batch_fast(joined, add_special_tokens=False) if joined else [], strict=True):
+            ids = np.array(e.ids, np.int64)
+            edges = np.flatnonzero(self.edge[ids])
+            if len(edges) != len(group):  # left to the caller
+                continue
+            raw = ids.astype(self.dtype).tobytes()
+            cuts = ((np.append(edges, len(ids)) if self.mode == "byte" else np.append(0, edges + 1)) * self.dtype.itemsize).tolist()
+            out.update(zip(group, map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
+        return out
+
+    def _apart(self, units: list[str]) -> dict[str, bytes]:
+        """ids of any units, joined by a special token where there is one."""
         out: dict[str, bytes] = {}
         joint, alone = [], []
-        marked = any(s in "\n".join(units) for s in self.special)
         for u in units:
-            (alone if marked and any(s in u for s in self.special) else joint).append(u)
-        if not self.special:
-            joint, alone = [], units
+            (alone if not self.special or any(s in u for s in self.special) else joint).append(u)
         texts = [self.sep.join(map(self._text, joint[i : i + 256])) for i in range(0, len(joint), 256)]
         for i, e in enumerate(self.tok.encode_batch_fast(texts, add_special_tokens=False) if texts else []):
             group = joint[256 * i : 256 * i + 256]
@@ -99,6 +146,15 @@ class UnitEncoder:
             out[u] = self._bytes(self.tok.encode(self._text(u), add_special_tokens=False).ids)
         return out
 
+    def _learn(self, new: set[str]) -> None:
+        """Put units into the cache; those that end in a mark by way of what stands before it."""
+        cache, marks = self.cache, self.marks
+        ending = [u for u in new if u[-1:] in marks and u[-2:-1] in _LETTERS]
+        new.difference_update(ending)
+        new.update([u[:-1] for u in ending])
+        cache.update(self._encode([u for u in new if u not in cache]))
+        cache.update([(u, cache[u[:-1]] + marks[u[-1]]) for u in ending])
+
     def encode(self, texts: list[str]):
         """Yield the ids of each text as bytes, in order."""
         from .common import chunks
@@ -108,20 +164,23 @@ class UnitEncoder:
                 for e in self.tok.encode_batch(texts[a:b], add_special_tokens=False):
                     yield self._bytes(e.ids)
                 continue
+            if 2 * len(self.cache) > self.keep:
+                self.cache, self.older = {}, self.cache
             parts = [self._units(t) for t in texts[a:b]]
+            found = [list(map(self.cache.get, p)) for p in parts]
             new: set[str] = set()
-            for p in parts:
-                new.update(p)
-            new -= self.cache.keys()
+            for p, f in zip(parts, found, strict=True):
+                if None in f:
+                    new.update([u for u, x in zip(p, f, strict=True) if x is None])
+            cache, older = self.cache, self.older
+            if new and older:
+                again = [u for u in new if u in older]
+                cache.update([(u, older[u]) for u in again])
+                new.difference_update(again)
             if new:
-                if len(self.cache) + len(new) > self.keep:  # begin anew with what is in use
-                    new = set().union(*parts)
-                    used = new & self.cache.keys()
-                    self.cache = {u: self.cache[u] for u in used}
-                    new -= used
-                self.cache.update(self._encode(list(new)))
-            for p in parts:
-                yield b"".join(map(self.cache.__getitem__, p))
+                self._learn(new)
+            for p, f in zip(parts, found, strict=True):
+                yield b"".join([cache[u] if x is None else x for u, x in zip(p, f, strict=True)] if None in f else f)
 
 
 _encoders: dict[tuple, UnitEncoder] = {}
