@@ -45,7 +45,7 @@ def mode_of(spec: dict) -> str:
 class UnitEncoder:
     """ids of texts as little-endian bytes; memory is bounded by ``keep`` units."""
 
-    def __init__(self, tokenizer_json: str, dtype: str = "<u4", keep: int = 1_000_000, chunk_chars: int = 1_000_000):
+    def __init__(self, tokenizer_json: str, dtype: str = "<u4", keep: int = 1_400_000, chunk_chars: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
