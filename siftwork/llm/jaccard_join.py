@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ def _seeds(runs: int, level: int) -> np.ndarray:
 
 
 def text_sets(texts: list[str], n: int) -> Iterator[np.ndarray]:
-    for a, b in chunks([len(t) for t in texts], 1_000_000):
+    for a, b in chunks([len(t) for t in texts], 500_000):
         w = Words(texts[a:b])
         for i in range(b - a):
             yield gram_set(w.hash[w.first[i] : w.first[i + 1]], n)
@@ -121,11 +122,14 @@ def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: fl
         def run(batches: Iterator[pa.RecordBatch], seeds=seeds) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 keys, owners = [], []
-                for key, uid, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), expand(b.column(2).to_pylist()), strict=True):
-                    own = mix(seeds ^ np.uint64(key & (2**64 - 1)))
-                    for k in choose(np.frombuffer(blob, np.uint64), own, threshold):
-                        keys.append(k)
-                        owners += [uid] * len(k)
+                for i, j in chunks(pc.binary_length(b.column(2)).to_pylist(), neardup.CHUNK_BYTES):
+                    values, count = expand(b.column(2)[i:j].to_pylist())
+                    sets = np.split(values, np.cumsum(count)[:-1])
+                    for key, uid, values in zip(b.column(0)[i:j].to_pylist(), b.column(1)[i:j].to_pylist(), sets, strict=True):
+                        own = mix(seeds ^ np.uint64(key & (2**64 - 1)))
+                        for k in choose(np.unique(values), own, threshold):
+                            keys.append(k)
+                            owners += [uid] * len(k)
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(owners, pa.int64())], ["key", "uid"])
 
@@ -142,13 +146,15 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _classes(rows: DataFrame, n: int, threshold: float, recall: float, small: int, depth: int, count: bool) -> DataFrame:
     """(uid, class_doc, class_uid, n_links) of every distinct text."""
+    # A pair meets at the first level and at every split, so each gets its share of the misses.
+    runs = runs_for(recall ** (1 / (depth + 1)), threshold)
     texts = materialise(rows.groupBy("uid").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies")), "texts")
-    sampled = materialise(sampled_keys(rows.select("uid", "text"), n, threshold, runs_for(recall, threshold)), "sampled")
+    sampled = materialise(sampled_keys(rows.select("uid", "text"), n, threshold, runs), "sampled")
     met = neardup.live_buckets(sampled.select(F.explode("keys").alias("key"), "uid"))
     buckets = neardup.live_buckets(neardup.prune(met, sampled.select("uid", "n", "bits"), threshold))
     wanted = materialise(buckets.select("uid").distinct().join(texts, "uid").select("uid", "doc"), "wanted")
     sets = materialise(sets_of(rows.select("doc", "uid", "text"), wanted, n), "sets")
-    buckets = split_buckets(buckets, sets, small, threshold, runs_for(recall, threshold), depth)
+    buckets = split_buckets(buckets, sets, small, threshold, runs, depth)
     linked = materialise(connected_components(neardup.links(buckets, sets, threshold)), "classes")
     members = linked.select(F.col("node").alias("uid"), "component").join(texts, "uid")
     named = members.groupBy("component").agg(F.min(F.struct("doc", "uid")).alias("first"))

@@ -19,15 +19,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise
+from .common import chunks, discard, materialise
 
 #: Bytes of sets that one task takes of one bucket.
 PART_BYTES = 8_000_000
 #: Members of one bucket that one task takes.
 PART_ROWS = 4_000
+#: Bytes of sets that a task compares at once, if their groups are smaller.
+CHUNK_BYTES = 4_000_000
 #: Rows of a few integers that a broadcast may hold (about 100 MB of them in memory);
 #: beyond it the join is shuffled.
 BROADCAST_ROWS = 2_000_000
@@ -63,15 +66,91 @@ def live_buckets(keys: DataFrame) -> DataFrame:
     return out
 
 
+def ranges(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All of first[i] .. first[i]+count[i]-1 end to end, and where each i begins."""
+    cut = np.concatenate(([0], np.cumsum(count)))
+    return np.repeat(first - cut[:-1], count) + np.arange(cut[-1]), cut
+
+
+class Members:
+    """Members of many groups at once, each a set of 64-bit values.
+
+    ``values`` are the members' values end to end (repeats within a member count
+    once), ``count`` how many each has, ``group`` the ascending group of each. Values
+    become numbers that are equal for equal values of the same group.
+    """
+
+    def __init__(self, values: np.ndarray, count: np.ndarray, group: np.ndarray):
+        self.group = group
+        of = np.repeat(np.arange(len(count)), count)
+        g = group[of]
+        order = np.lexsort((values, g))  # stable: a member's repeats stand together
+        v, og, om = values[order], g[order], of[order]
+        new = np.ones(len(v), bool)
+        new[1:] = (v[1:] != v[:-1]) | (og[1:] != og[:-1])
+        fresh = new.copy()
+        fresh[1:] |= om[1:] != om[:-1]
+        ids, keep = np.empty(len(v), np.int64), np.empty(len(v), bool)
+        ids[order], keep[order] = np.cumsum(new) - 1, fresh
+        self.ids, self.mark = ids[keep], np.zeros(len(v) + 1, bool)
+        self.size = np.bincount(of[keep], minlength=len(count))
+        self.at = np.concatenate(([0], np.cumsum(self.size)))
+
+    def near(self, pivots: np.ndarray, p: np.ndarray, q: np.ndarray, threshold: float) -> np.ndarray:
+        """Whether each q[i] reaches the threshold with p[i]; ``pivots`` are the p, one a group."""
+        a, b = self.size[p], self.size[q]
+        out = (a >= threshold * b - 1e-9) & (b >= threshold * a - 1e-9)
+        some = np.flatnonzero(out)
+        if len(some):
+            marked = self.ids[ranges(self.at[pivots], self.size[pivots])[0]]
+            self.mark[marked] = True
+            at, cut = ranges(self.at[q[some]], b[some])
+            total = np.concatenate(([0], np.cumsum(self.mark[self.ids[at]])))
+            self.mark[marked] = False
+            both = total[cut[1:]] - total[cut[:-1]]
+            out[some] = both >= threshold * (a[some] + b[some] - both) - 1e-9
+        return out
+
+    def spanning_links(self, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Links (a, b) that connect what all verified pairs would, and each member's component.
+
+        In each round one member of every group is compared with those of its group
+        that no component has taken yet: a linked one that wasn't compared so far, or
+        else the first that is open.
+        """
+        n = len(self.group)
+        component, links = np.full(n, -1), [(np.zeros(0, np.int64),) * 2]
+        rest, wait = np.arange(n), np.zeros(0, np.int64)
+        while len(rest):
+            g = self.group[rest]
+            first = np.flatnonzero(np.diff(g, prepend=g[0] - 1))
+            open_ = g[first]
+            wait = wait[np.isin(self.group[wait], open_)]
+            at = np.searchsorted(self.group[wait], open_)
+            has = at < len(wait)
+            has[has] = self.group[wait[at[has]]] == open_[has]
+            pivot = rest[first]
+            component[pivot[~has]] = pivot[~has]
+            pivot[has] = wait[at[has]]
+            wait, rest = np.delete(wait, at[has]), np.delete(rest, first[~has])
+            if not len(rest):
+                break
+            p = pivot[np.searchsorted(open_, self.group[rest])]
+            hit = self.near(pivot, p, rest, threshold)
+            component[rest[hit]] = component[p[hit]]
+            links.append((p[hit], rest[hit]))
+            wait = np.sort(np.concatenate((wait, rest[hit])))
+            rest = rest[~hit]
+        return *(np.concatenate(x) for x in zip(*links, strict=True)), component
+
+
 class Sets:
     """Members of one part of a bucket: sorted sets laid end to end."""
 
-    def __init__(self, blobs: list[bytes]):
-        values = np.frombuffer(b"".join(blobs), np.uint64)
-        self.size = np.array([len(b) // 8 for b in blobs], np.int64)
-        self.ids = np.unique(values, return_inverse=True)[1].reshape(-1) if len(values) else np.zeros(0, np.int64)
-        self.v = int(self.ids.max()) + 1 if len(values) else 0
-        self.at = np.concatenate(([0], np.cumsum(self.size)))
+    def __init__(self, values: np.ndarray, count: np.ndarray):
+        m = Members(values, count, np.zeros(len(count), np.int64))
+        self.size, self.ids, self.at = m.size, m.ids, m.at
+        self.v = len(m.mark)
 
     def shared(self, p: int, among: np.ndarray, flat: np.ndarray, cut: np.ndarray) -> np.ndarray:
         """How many values member ``p`` shares with each of ``among``."""
@@ -91,36 +170,6 @@ class Sets:
         return both >= threshold * union - 1e-9
 
 
-def spanning_links(sets: Sets, threshold: float) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Links that connect exactly what all verified pairs would, and group numbers.
-
-    Members are taken one by one and compared with all that no group has taken yet.
-    """
-    n = len(sets.size)
-    group, links = np.full(n, -1), []
-    rest = np.arange(n)
-    flat, cut = sets.flat(rest)
-    for first in range(n):
-        if group[first] >= 0:
-            continue
-        group[first] = first
-        queue = [first]
-        while queue and len(rest):
-            p = queue.pop()
-            open_ = group[rest] < 0
-            if not open_.any():
-                break
-            if open_.sum() < len(rest) // 2:
-                rest = rest[open_]
-                flat, cut = sets.flat(rest)
-                open_ = np.ones(len(rest), bool)
-            hit = rest[sets.near(p, rest, flat, cut, threshold) & open_]
-            group[hit] = first
-            links += [(p, int(q)) for q in hit]
-            queue += hit.tolist()
-    return links, group
-
-
 def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """Runs of rows that agree in their first ``keys`` columns, from sorted batches."""
     held: list[pa.Table] = []
@@ -169,6 +218,47 @@ def by_group(df: DataFrame, keys: list[str], f, schema: str) -> DataFrame:
     return placed.mapInArrow(run, schema)
 
 
+def _starts(t: pa.Table, keys: int) -> np.ndarray:
+    """Where the runs of rows that agree in the first ``keys`` columns begin."""
+    new = np.zeros(t.num_rows, bool)
+    new[:1] = True
+    for i in range(keys):
+        c = t.column(i).to_numpy()
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def many_groups(batches: Iterator[pa.RecordBatch], keys: int, weight: int, limit: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups and where each begins, cut where binary column ``weight`` passes ``limit`` bytes.
+
+    Rows come sorted by the first ``keys`` columns. A group larger than the limit is a table by itself.
+    """
+    held, total = [], 0
+
+    def cut(t: pa.Table, last: bool):
+        size = pc.binary_length(t.column(weight)).to_numpy()
+        before = np.concatenate(([0], np.cumsum(size)))
+        starts = _starts(t, keys)
+        ends = [*starts[1:].tolist(), t.num_rows] if last else starts[1:].tolist()
+        done = i = 0
+        while i < len(ends):
+            # As many groups as the limit takes, one at least.
+            j = max(int(np.searchsorted(before[ends], before[done] + limit, "right")), i + 1)
+            yield t.slice(done, ends[j - 1] - done).combine_chunks(), starts[i:j] - done
+            done, i = ends[j - 1], j
+        held[:] = [t.slice(done)] if done < t.num_rows else []
+        return before[-1] - before[done]
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(pa.Table.from_batches([batch]))
+            total += batch.nbytes
+            if total > limit:
+                total = yield from cut(pa.concat_tables(held), False)
+    if held:
+        yield from cut(pa.concat_tables(held), True)
+
+
 def _first_of_each(t: pa.Table) -> pa.Table:
     """One row per uid, in uid order."""
     uids = t.column("uid").to_numpy()
@@ -217,7 +307,7 @@ def prune(buckets: DataFrame, sketches: DataFrame, threshold: float) -> DataFram
 
 
 def _edges(a, b, left=None) -> pa.Table:
-    left = [False] * len(a) if left is None else left
+    left = np.zeros(len(a), bool) if left is None else left
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "left": pa.array(left, pa.bool_())})
 
 
@@ -230,9 +320,9 @@ def _parts(rows: DataFrame, part_bytes: int) -> DataFrame:
     return sized.select("key", "m", F.greatest(F.ceil(F.col("bytes") / part_bytes), F.ceil(F.col("m") / PART_ROWS)).cast("int").alias("parts"), "head")
 
 
-def as_sets(blobs: list[bytes]) -> list[bytes]:
-    """Blobs that are sets already."""
-    return blobs
+def as_sets(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The values of sets end to end, and how many each has; blobs are the sets' bytes."""
+    return np.frombuffer(b"".join(blobs), np.uint64), np.array([len(b) // 8 for b in blobs], np.int64)
 
 
 def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int = PART_BYTES, expand=as_sets) -> DataFrame:
@@ -250,20 +340,28 @@ def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int
     heads = large.select("key", F.col("head").alias("uid"), "head", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     dealt = dealt.where("parts = 1 or uid <> head").select("key", "uid", "head", "parts", "part").unionByName(heads)
 
-    def part(t: pa.Table) -> pa.Table:
-        t = _first_of_each(t)
-        uids = t.column("uid").to_numpy()
-        found, group = spanning_links(Sets(expand(t.column("set").to_pylist())), threshold)
-        a, b = [int(uids[p]) for p, _ in found], [int(uids[q]) for _, q in found]
-        parts, head = t.column("parts")[0].as_py(), t.column("head")[0].as_py()
-        left = [False] * len(a)
-        if parts > 1:  # what is not in the head's group has yet to meet the other parts
-            own = group[np.flatnonzero(uids == head)[0]]
-            out = uids[group != own].tolist()
-            a, b, left = a + [t.column("key")[0].as_py()] * len(out), b + out, left + [True] * len(out)
-        return _edges(a, b, left)
-
-    first = materialise(by_group(dealt.join(sets, "uid"), ["key", "part"], part, _EDGE), "links")
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, starts in many_groups(batches, 2, 5, CHUNK_BYTES * part_bytes // PART_BYTES):
+            uids, parts, heads, key = (t.column(c).to_numpy() for c in ("uid", "parts", "head", "key"))
+            group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(uids))))
+            order = np.lexsort((uids, group))
+            new = np.ones(len(order), bool)  # a uid may come twice
+            new[1:] = (uids[order][1:] != uids[order][:-1]) | (group[order][1:] != group[order][:-1])
+            order = order[new]
+            uids, group = uids[order], group[order]
+            values, count = expand(t.column("set").take(pa.array(order)).to_pylist())
+            a, b, component = Members(values, count, group).spanning_links(threshold)
+            yield from _edges(uids[a], uids[b]).to_batches()
+            many = parts[order] > 1
+            if many.any():  # what is not in the head's group has yet to meet the other parts
+                own = np.full(len(starts), -1)
+                is_head = many & (uids == heads[order])
+                own[group[is_head]] = component[is_head]
+                out = many & (component != own[group])
+                yield from _edges(key[order][out], uids[out], np.ones(out.sum(), bool)).to_batches()
+
+    placed = dealt.select("key", "part", "uid", "head", "parts").join(sets, "uid").select("key", "part", "uid", "head", "parts", "set")
+    first = materialise(placed.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(linked, _EDGE), "links")
     over = first.where("left").select(F.col("a").alias("key"), F.col("b").alias("uid"))
     out = first.where("not left").select("a", "b")
     if large.isEmpty() or over.isEmpty():
@@ -275,7 +373,7 @@ def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int
 
     def meet(t: pa.Table) -> pa.Table:
         uids, mine_ = t.column("uid").to_numpy(), np.array(t.column("mine").to_pylist())
-        s = Sets(expand(t.column("set").to_pylist()))
+        s = Sets(*expand(t.column("set").to_pylist()))
         others = np.flatnonzero(~mine_)
         flat, cut = s.flat(others)
         a, b = [], []
@@ -302,12 +400,12 @@ def dense(buckets: DataFrame, sets: DataFrame, threshold: float, expand=as_sets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            near = []
-            for x, h in zip(expand(b.column(1).to_pylist()), expand(b.column(2).to_pylist()), strict=True):
-                x, h = np.frombuffer(x, np.uint64), np.frombuffer(h, np.uint64)
-                both = len(np.intersect1d(x, h, assume_unique=True))
-                near.append(both >= threshold * (len(x) + len(h) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(near, pa.bool_())], ["key", "near"])
+            for i, j in chunks(pc.binary_length(b.column(1)).to_pylist(), CHUNK_BYTES):
+                n = j - i  # each member and its head are a group of two
+                values, count = expand([x for y in zip(b.column(2)[i:j].to_pylist(), b.column(1)[i:j].to_pylist(), strict=True) for x in y])
+                head = 2 * np.arange(n)
+                near = Members(values, count, np.repeat(np.arange(n), 2)).near(head, head, head + 1, threshold)
+                yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(near)], ["key", "near"])
 
     shares = rows.mapInArrow(run, "key long, near boolean").groupBy("key").agg(F.avg(F.col("near").cast("double")).alias("share"))
     return materialise(shares.where("share >= 0.5").select("key"), "dense")
@@ -329,7 +427,7 @@ def count_links(classes: DataFrame, sets: DataFrame, threshold: float, part_byte
         t = _first_of_each(t)
         uids, part = t.column("uid").to_numpy(), t.column("part").to_numpy()
         copies, i, j = t.column("copies").to_numpy(), t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        s = Sets(t.column("set").to_pylist())
+        s = Sets(*as_sets(t.column("set").to_pylist()))
         total = np.zeros(len(uids), np.int64)
         left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
         flat, cut = s.flat(right)

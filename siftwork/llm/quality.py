@@ -34,7 +34,7 @@ N_FEATURES = 17 + len(_MARKS)
 
 def statistics(texts: list[str]) -> np.ndarray:
     """One row of statistics per text; empty texts give defined values (mostly 0)."""
-    out = [_chunk(texts[a:b]) for a, b in chunks([len(t) for t in texts], 1_000_000)]
+    out = [_chunk(texts[a:b]) for a, b in chunks([len(t) for t in texts], 500_000)]
     return np.concatenate(out) if out else np.zeros((0, N_FEATURES), np.float32)
 
 

@@ -1,4 +1,4 @@
-"""Units of texts (lines, sentences) and the near-duplicate classes among them.
+"""Units of texts (lines, stretches of words) and the near-duplicate classes among them.
 
 A unit's uid is a 64-bit hash of its bytes, so exact copies share it. Signatures
 and sets are made from all of its shingles.
@@ -18,10 +18,14 @@ from . import neardup
 from .common import chunks, discard, materialise
 from .components import connected_components
 from .jaccard_join import runs_for, split_buckets
-from .textkernel import _ASCII_WORD, Words, band_keys, min_hashes, mix
+from .neardup import ranges
+from .textkernel import Words, band_keys, min_hashes, mix
 
-_CHUNK = 1_000_000
-SCHEMA = "uid long, doc long, no int, start long, end long, words int, keys array<bigint>"
+_CHUNK = 500_000
+SCHEMA = "uid long, doc long, th long, no int, start long, end long, words int, keys array<bigint>"
+
+
+_LOWEST = -(2**63)
 
 
 @dataclass
@@ -42,32 +46,37 @@ class Units:
         return Units(self.kernel, *(x[rows] for x in (self.doc, self.no, self.start, self.end, self.words)))
 
 
-def _ranges(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All of first[i] .. first[i]+count[i]-1 end to end, and where each i begins."""
-    cut = np.concatenate(([0], np.cumsum(count)))
-    return np.repeat(first - cut[:-1], count) + np.arange(cut[-1]), cut
+_BASE = np.uint64(0xD6E8FEB86659FD93)
+
+
+def rolling(points: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the ``k`` code points from each one on (a power of two); zeros follow the last."""
+    h, base = np.concatenate((points.astype(np.uint64), np.zeros(k, np.uint64))), _BASE
+    width = 1
+    while width < k:
+        h = h[:-width] + h[width:] * base
+        base, width = np.uint64(int(base) * int(base) & (2**64 - 1)), 2 * width
+    return h[: len(points)]
 
 
 class Lines:
-    """Lines that have a word; shingles of ``k`` (8 at most) bytes of the lower-cased line.
+    """Lines that have a word; shingles of ``k`` characters of the lower-cased line.
 
-    Between tasks a line travels as its bytes, an eighth of its set.
+    A line of fewer characters is one shingle. Between tasks a line travels as its
+    bytes, an eighth of its set.
     """
 
     k, part_bytes = 8, neardup.PART_BYTES // 8
 
-    def blob(self, u: Units, i: int, values: np.ndarray) -> bytes:
-        return u.kernel.bytes[u.start[i] : u.end[i]].tobytes()
+    def blobs(self, u: Units) -> list[bytes]:
+        raw = u.kernel.bytes.tobytes()
+        return [raw[a:b] for a, b in zip(u.start.tolist(), u.end.tolist(), strict=True)]
 
-    def expand(self, blobs: list[bytes]) -> list[bytes]:
-        out = []
-        for a, b in chunks([len(x) for x in blobs], _CHUNK):
-            w = Words([b"\n".join(blobs[a:b]).decode("utf-8", "surrogatepass")], lower=False)
-            end = np.cumsum([len(x) + 1 for x in blobs[a:b]]) - 1
-            start = np.concatenate(([0], end[:-1] + 1))
-            values, cut = self.shingles(Units(w, end, end, start, end, end))
-            out += [np.unique(values[x:y]).tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)]
-        return out
+    def expand(self, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        raw = np.frombuffer(b"\n".join(blobs) + b"\n", np.uint8)
+        end = np.cumsum([len(x) + 1 for x in blobs]) - 1
+        values, cut = self.sets(raw, np.concatenate(([0], end[:-1] + 1)), end)
+        return values, np.diff(cut)
 
     def units(self, texts: list[str]) -> Units:
         w = Words(texts)
@@ -79,60 +88,76 @@ class Lines:
         return Units(w, doc, no, starts, ends, words).take(words > 0)
 
     def shingles(self, u: Units) -> tuple[np.ndarray, np.ndarray]:
-        padded = np.concatenate((u.kernel.bytes, np.zeros(8, np.uint8)))
-        size = u.end - u.start
-        at, cut = _ranges(u.start, np.maximum(size - self.k + 1, 1))
-        values = np.lib.stride_tricks.sliding_window_view(padded, 8)[at].view("<u8").reshape(-1)
-        if len(at):
-            width = np.repeat(np.minimum(size, self.k), np.diff(cut)).astype(np.uint64)
-            keep = np.where(width >= 8, np.uint64(2**64 - 1), (np.uint64(1) << (width % np.uint64(8) * np.uint64(8))) - np.uint64(1))
-            values = values & keep
+        return self.sets(u.kernel.bytes, u.start, u.end)
+
+    def sets(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shingles of the byte spans, end to end, and where each span's begin."""
+        points = raw
+        if raw.max(initial=0) >= 0x80:  # bytes to code points
+            before = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
+            start, end = before[start], before[end]
+            points = np.frombuffer(raw.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
+        size = end - start
+        at, cut = ranges(start, np.maximum(size - self.k + 1, 1))
+        values = rolling(points, self.k)[at]
+        short = np.flatnonzero(size < self.k)
+        if len(short):
+            one = np.zeros(len(short), np.uint64)
+            for j in range(self.k - 1):
+                inside = size[short] > j
+                one[inside] = one[inside] * _BASE + points[start[short[inside]] + j] + np.uint64(1)
+            values[cut[short]] = mix(one + size[short].astype(np.uint64))
         return values, cut
 
 
-class Sentences:
-    """Sentences of ``least`` words or more; shingles of ``n`` words.
+class Stretches:
+    """Paragraph-sized stretches of words, cut by content; shingles of ``n`` words.
 
-    A sentence ends at a newline, or at a full stop or question mark before white
-    space. Where more than ``long`` words go without an end, words whose hash says
-    so end one too, so that the cuts depend on the content alone.
+    A word ends a stretch if its hash is less than those of the ``reach`` words before
+    it and not greater than those of the ``reach`` words after it, so a passage is cut
+    alike wherever it stands, but for some words at its ends, and whatever its
+    punctuation. Stretches have ``reach`` + 1 words or more, 2 * ``reach`` + 1 on
+    average; after ``long`` words without an end (a word repeated) one is cut.
     """
 
-    least, n, long, part_bytes = 5, 5, 48, neardup.PART_BYTES
+    least, n, reach, long, part_bytes = 5, 5, 4, 24, neardup.PART_BYTES
+    expand = staticmethod(neardup.as_sets)
 
-    def blob(self, u: Units, i: int, values: np.ndarray) -> bytes:
-        return np.unique(values).tobytes()
-
-    def expand(self, blobs: list[bytes]) -> list[bytes]:
-        return blobs
+    def blobs(self, u: Units) -> list[bytes]:
+        values, cut = self.shingles(u)
+        return [np.unique(values[a:b]).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
     def units(self, texts: list[str]) -> Units:
         w = Words(texts, lower=False, ascii_lower=True)
-        b = w.bytes
-        space = (b == 32) | (b == 10)
-        stop = b == 10
-        stop[:-1] |= ((b[:-1] == 46) | (b[:-1] == 63)) & space[1:]
-        if not len(w.starts):
+        n = len(w.starts)
+        if not n:
             none = np.zeros(0, np.int64)
             return Units(w, none, none, none, none, none)
-        before = np.concatenate(([0], np.cumsum(stop)))
-        part = before[w.starts]  # how many stops stand before each word
-        new = np.ones(len(part), bool)
-        new[1:] = part[1:] != part[:-1]
-        number = np.cumsum(new) - 1
-        size = np.bincount(number)
-        cut = (size[number] > self.long) & (w.hash % np.uint64(16) == 0)
-        new[1:] |= cut[:-1]
-        first = np.flatnonzero(new)
-        last = np.concatenate((first[1:], [len(part)])) - 1
+        order, far = (w.hash >> np.uint64(32)).astype(np.int64), np.int64(2**32)
+        cut = np.ones(n, bool)
+        for j in range(1, min(self.reach, n - 1) + 1):
+            same = w.doc[j:] == w.doc[:-j]
+            cut[j:] &= order[j:] < np.where(same, order[:-j], far)
+            cut[:-j] &= order[:-j] <= np.where(same, order[j:], far)
+        # Each text's last word ends a stretch; others end only with ``reach`` words after them.
+        last = w.first[1:][np.diff(w.first) > 0] - 1
+        place = np.arange(n) - w.first[w.doc]
+        cut &= (place >= self.reach) & (w.first[w.doc + 1] - w.first[w.doc] - place > self.reach)
+        cut[last] = True
+        first = np.concatenate(([0], np.flatnonzero(cut)[:-1] + 1))
+        size = np.diff(np.append(first, n))
+        pieces = -(-size // self.long)
+        inner, at = ranges(np.zeros(len(first), np.int64), pieces)
+        first = np.repeat(first, pieces) + inner * self.long
+        end = np.append(first[1:], n) - 1
         doc = w.doc[first]
         no = np.arange(len(first)) - np.searchsorted(first, w.first[:-1])[doc]
-        return Units(w, doc, no, w.starts[first], w.ends[last], last - first + 1)
+        return Units(w, doc, no, w.starts[first], w.ends[end], end - first + 1)
 
     def shingles(self, u: Units) -> tuple[np.ndarray, np.ndarray]:
         w = u.kernel
         first = np.searchsorted(w.starts, u.start)
-        at, cut = _ranges(first, np.maximum(u.words - self.n + 1, 1))
+        at, cut = ranges(first, np.maximum(u.words - self.n + 1, 1))
         end = np.repeat(first + u.words, np.diff(cut))
         values = np.zeros(len(at), np.uint64)
         for j in range(self.n):
@@ -141,12 +166,27 @@ class Sentences:
         return mix(values), cut
 
 
+def text_key(id_col: str, text_col: str) -> tuple:
+    """Columns doc, th and text: id and a hash of the text tell documents apart.
+
+    Null ids come first and null texts are empty. Different texts under one id, the
+    null id too, are different documents; rows equal in both are one.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST)), F.xxhash64(text), text
+
+
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, th, text), see ``text_key``."""
+    return docs.select(*(c.alias(n) for c, n in zip(text_key(id_col, text_col), ("doc", "th", "text"), strict=True)))
+
+
 def unit_rows(docs: DataFrame, kind, bands: int, rows: int) -> DataFrame:
-    """Every unit of (doc, text) rows, with band keys on one of equal units per batch."""
+    """Every unit of (doc, th, text) rows, with band keys on one of equal units per batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = np.array(batch.column(0).to_pylist(), np.int64), batch.column(1).to_pylist()
+            ids, hashes, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
             for a, b in chunks([len(t) for t in texts], _CHUNK):
                 u = kind.units(texts[a:b])
                 if not len(u.doc):
@@ -161,15 +201,15 @@ def unit_rows(docs: DataFrame, kind, bands: int, rows: int) -> DataFrame:
                 keys = band_keys(min_hashes(values, cut, bands * rows), rows)
                 ends = np.concatenate(([0], np.cumsum(keyed * bands))).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(u.uid), pa.array(ids[a:b][u.doc]), pa.array(u.no.astype(np.int32)), pa.array(letters[u.start] - origin), pa.array(letters[u.end] - origin), pa.array(u.words.astype(np.int32)), listed], ["uid", "doc", "no", "start", "end", "words", "keys"])
+                yield pa.RecordBatch.from_arrays([pa.array(u.uid), pa.array(ids[a:b][u.doc]), pa.array(hashes[a:b][u.doc]), pa.array(u.no.astype(np.int32)), pa.array(letters[u.start] - origin), pa.array(letters[u.end] - origin), pa.array(u.words.astype(np.int32)), listed], ["uid", "doc", "th", "no", "start", "end", "words", "keys"])
 
     return docs.mapInArrow(run, SCHEMA)
 
 
 def unit_sets(docs: DataFrame, wanted: DataFrame, kind) -> DataFrame:
-    """(uid, set) of the wanted (uid, doc) units, from (doc, text) rows."""
-    lists = materialise(wanted.groupBy("doc").agg(F.collect_list("uid").alias("uids")), "lists")
-    found = docs.join(neardup.bounded(lists, 8 * F.size("uids")), "doc").select("text", "uids")
+    """(uid, set) of the wanted (uid, doc, th) units, from (doc, th, text) rows."""
+    lists = materialise(wanted.groupBy("doc", "th").agg(F.collect_list("uid").alias("uids")), "lists")
+    found = docs.join(neardup.bounded(lists, 8 * F.size("uids")), ["doc", "th"]).select("text", "uids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(batch):
@@ -180,9 +220,7 @@ def unit_sets(docs: DataFrame, wanted: DataFrame, kind) -> DataFrame:
                 keep = np.zeros(len(u.doc), bool)
                 keep[np.unique(u.uid, return_index=True)[1]] = True
                 u = u.take(keep & np.isin(u.uid, want))
-                values, cut = kind.shingles(u)
-                for i, uid in enumerate(u.uid.tolist()):
-                    yield uid, kind.blob(u, i, values[cut[i] : cut[i + 1]])
+                yield from zip(u.uid.tolist(), kind.blobs(u), strict=True)
 
         for batch in batches:
             yield from neardup.set_batches(rows(batch))
@@ -197,14 +235,9 @@ def unit_classes(docs: DataFrame, units: DataFrame, kind, *, threshold: float, s
     keys = units.where("size(keys) > 0").select(F.explode("keys").alias("key"), "uid")
     buckets = neardup.live_buckets(keys)
     near = materialise(buckets.select("uid").distinct(), "near")
-    wanted = materialise(units.join(neardup.bounded(near), "uid", "left_semi").groupBy("uid").agg(F.min("doc").alias("doc")), "wanted")
+    wanted = materialise(units.join(neardup.bounded(near), "uid", "left_semi").groupBy("uid").agg(F.min(F.struct("doc", "th")).alias("d")).select("uid", "d.doc", "d.th"), "wanted")
     sets = materialise(unit_sets(docs, wanted, kind), "sets")
     buckets = split_buckets(buckets, sets, small, threshold, runs_for(recall, threshold), depth, kind.expand)
     out = materialise(connected_components(neardup.links(buckets, sets, threshold, kind.part_bytes, kind.expand)), "classes")
     discard(near, wanted, sets)
     return out
-
-
-def is_word_line(line: str) -> bool:
-    raw = np.frombuffer(line.encode("utf-8", "surrogatepass"), np.uint8)
-    return bool(_ASCII_WORD[raw].any())

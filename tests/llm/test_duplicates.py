@@ -89,7 +89,7 @@ def test_lines_against_brute_force(spark, prose):
     got = {r.doc_id: r.text for r in linededup.dedup_lines(frame(spark, rows)).collect()}
 
     def s(line):
-        b = line.lower().encode()
+        b = line.lower()
         return {b[i : i + 8] for i in range(max(1, len(b) - 7))}
 
     order = [(d, n, x) for d, t in sorted(rows) for n, x in enumerate(t.split("\n")) if len(Words([x]).hash)]
