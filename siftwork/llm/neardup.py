@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import chunks, discard, materialise
+from .textkernel import mix
 
 #: Bytes of sets that one task takes of one bucket.
 PART_BYTES = 8_000_000
@@ -84,7 +85,8 @@ class Members:
         self.group = group
         of = np.repeat(np.arange(len(count)), count)
         g = group[of]
-        order = np.lexsort((values, g))  # stable: a member's repeats stand together
+        # Equal values of a group have the same 64-bit key; a stable sort keeps a member's repeats together.
+        order = np.argsort(mix(values ^ mix(g.astype(np.uint64) + np.uint64(1))), kind="stable")
         v, og, om = values[order], g[order], of[order]
         new = np.ones(len(v), bool)
         new[1:] = (v[1:] != v[:-1]) | (og[1:] != og[:-1])

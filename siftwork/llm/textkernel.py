@@ -73,12 +73,12 @@ def min_hashes(values: np.ndarray, cut: np.ndarray, count: int) -> np.ndarray:
     Set i is values[cut[i]:cut[i+1]]; none may be empty.
     """
     base = (mix(values) >> np.uint64(32)).astype(np.uint32)
-    seeds = mix(np.arange(1, 2 * count + 1, dtype=np.uint64))
-    out = np.empty((count, len(cut) - 1), np.uint32)
+    seeds = mix(np.arange(1, 2 * count + 1, dtype=np.uint64)).astype(np.uint32)
+    out, h = np.empty((count, len(cut) - 1), np.uint32), np.empty_like(base)
     for j in range(count if len(cut) > 1 else 0):
-        h = (base ^ np.uint32(seeds[2 * j] & np.uint64(0xFFFFFFFF))) * np.uint32((seeds[2 * j + 1] & np.uint64(0xFFFFFFFF)) | np.uint64(1))
-        h ^= h >> np.uint32(15)
-        out[j] = np.minimum.reduceat(h, cut[:-1])
+        np.bitwise_xor(base, seeds[2 * j], out=h)
+        np.multiply(h, seeds[2 * j + 1] | np.uint32(1), out=h)
+        np.minimum.reduceat(h, cut[:-1], out=out[j])
     return out
 
 
