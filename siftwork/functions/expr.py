@@ -146,7 +146,9 @@ class Value:
         return Length(self)
 
     # collections
-    def is_in(self, values) -> Pred:
+    def is_in(self, values, comparer=None) -> Pred:
+        if comparer is not None:
+            raise UnsupportedPredicate("membership compares by equality; a comparer of its own is refused")
         values = tuple(plain(v) for v in values)
         if not values:
             raise ValueError("an empty collection matches nothing; the query is refused")

@@ -96,8 +96,13 @@ def _attribute(parent: ET.Element, where: dict, name: str, v: Any) -> None:
             _attribute(parent, where, name if not isinstance(x, Attr) else x.name, x)
 
 
-def to_xml(query) -> str:
-    """Slots in fixed order: attributes, orders, filters, links."""
+def to_xml(query, top: int | None = None, aggregate: tuple | None = None) -> str:
+    """Slots in fixed order: attributes, orders, filters, links.
+
+    ``top`` bounds the rows that a terminal asks for. ``aggregate`` is a scalar aggregate
+    (its word and its selector, or None for the key or the one projected column): it takes
+    the place of the attributes, and orders don't matter to it.
+    """
     from ..operators.lowering import Scope
     from ..operators.query import Group
 
@@ -157,7 +162,16 @@ def to_xml(query) -> str:
             fetch.set("top", str(step[1]))
         elif kind == "distinct":
             fetch.set("distinct", "true")
-    if attributes:
+    if top is not None:
+        fetch.set("top", str(min(top, int(fetch.get("top", top)))))
+    if aggregate is not None:
+        word, selector = aggregate
+        one = selector(ref()) if selector else attributes[0][1] if len(attributes) == 1 and word != "count" else None
+        fetch.set("aggregate", "true")
+        name = one.name if isinstance(one, Attr) else query.catalog.entity(query.name).primary_id or query.name
+        ET.SubElement(where.get(one.alias, entity) if isinstance(one, Attr) else entity, "attribute", {"name": name, "alias": "value", "aggregate": word})
+        orders = []
+    elif attributes:
         for k, v in attributes:
             _attribute(entity, where, k, v)
     elif query.columns:

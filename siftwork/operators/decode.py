@@ -50,10 +50,26 @@ def cancellable(spark, token: CancelToken | None, f: Callable) -> Any:
     return out
 
 
-def announce(query) -> None:
-    """Tell the query's captures and the listeners its plan, before a request."""
-    if query.captures or plan_listeners:
-        plan = query.to_xml()
+class PlanOnly(Exception):
+    """Carries a terminal's plan out of a query that isn't to run."""
+
+    def __init__(self, plan: str):
+        super().__init__(plan)
+        self.plan = plan
+
+
+def announce(query, top: int | None = None, aggregate: tuple | None = None) -> None:
+    """Tell the query's captures and the listeners the request's plan, before it runs.
+
+    ``top`` is the number of rows that a terminal asks for, ``aggregate`` a scalar
+    aggregate and its selector.
+    """
+    if query.captures or plan_listeners or query.plan_only:
+        from ..functions.xmlplan import to_xml
+
+        plan = to_xml(query, top, aggregate)
+        if query.plan_only:
+            raise PlanOnly(plan)
         for f in query.captures:
             f(plan)
         for f in plan_listeners:

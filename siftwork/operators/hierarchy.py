@@ -2,22 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Levels that are walked one by one before strides double.
+_LEVELS = 8
+
+
+class _Scratch:
+    """Tables in the folder that the cluster shares (``spark.checkpoint.dir``)."""
+
+    def __init__(self, spark: SparkSession):
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("a hierarchy needs spark.checkpoint.dir, a folder that driver and executors share")
+            found = "file://" + tempfile.mkdtemp(prefix="siftwork-")
+            spark.conf.set("spark.checkpoint.dir", found)
+        self.spark, self.root = spark, f"{found.rstrip('/')}/siftwork-walk-{uuid.uuid4().hex}"
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` and read it back: its lineage ends in storage that outlives executors."""
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
 
 def _walk(pairs: DataFrame, start: DataFrame) -> DataFrame:
     """Ids reached from ``start`` along (src, dst), ``start`` included, at any depth.
 
-    Each round follows the ids that the last one found first, until it finds none,
-    so cycles end.
+    The first levels are walked one by one from the ids that the last one found first.
+    What is deeper is reached by strides that double each round (pairs joined to
+    themselves), so a chain of any length takes as many rounds as its length has binary
+    digits. A round that finds no new id ends the walk, so cycles end, too.
     """
+    scratch = _Scratch(pairs.sparkSession)
     pairs = pairs.select("src", "dst").persist()
-    fresh = reached = start.distinct().persist()
+    fresh = reached = scratch.keep(start.distinct(), "start")
+    stride, rounds = pairs, 0
     while not fresh.isEmpty():
-        after = fresh.join(pairs, fresh["id"] == pairs["src"]).select(F.col("dst").alias("id")).distinct()
-        fresh = after.join(reached, "id", "left_anti").localCheckpoint()
-        reached = reached.union(fresh).localCheckpoint()
+        rounds += 1
+        origin = fresh if rounds <= _LEVELS else reached
+        after = origin.join(stride, origin["id"] == stride["src"]).select(F.col("dst").alias("id")).distinct()
+        fresh = scratch.keep(after.join(reached, "id", "left_anti"), f"fresh{rounds}")
+        reached = reached.union(fresh)
+        if rounds > _LEVELS:
+            reached = scratch.keep(reached, f"reached{rounds}")
+            far = stride.select(F.col("src").alias("mid"), F.col("dst").alias("end"))
+            stride = scratch.keep(stride.join(far, stride["dst"] == far["mid"]).select("src", F.col("end").alias("dst")).distinct(), f"stride{rounds}")
     pairs.unpersist()
     return reached
 

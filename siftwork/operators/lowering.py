@@ -32,10 +32,14 @@ class Scope:
         self.columns: dict[str, list[str]] = {}
         self.prefix: dict[str, str] = {}
         self.projected: list[str] | None = None
+        #: Entities joined after a projection; their rows are named beside its columns.
+        self.later: list[str] = []
         self.aggregates: list[Column] | None = None
 
     def ref(self) -> RowRef:
-        return RowRef(self, self.root, tuple(self.columns) if self.projected is None else ())
+        if self.projected is None:
+            return RowRef(self, self.root, tuple(self.columns))
+        return RowRef(self, self.root, (self.root, *self.later) if self.later else ())
 
 
 class Lowering:
@@ -90,7 +94,7 @@ class Lowering:
 
     def own(self, a: Attr) -> Column:
         s = self.scope
-        if s.projected is not None:
+        if s.projected is not None and a.alias not in s.later:
             if a.name not in s.projected:
                 raise UnsupportedQuery(f"no column {a.name!r} after the projection")
             return F.col(f"`{a.name}`")
@@ -154,7 +158,9 @@ class Lowering:
         table, (v,) = self.catalog.table(e.name), p.args
         walk = hierarchy.above if "above" in p.op else hierarchy.below
         ids = walk(table, e.primary_id, e.parent, v, p.op.startswith("eq-or"))
-        return ~a.isin(ids) | a.isNull() if p.op == "not-under" else a.isin(ids)
+        # An equality, so that a hash join does it; of a null id neither holds true.
+        found = ids.where(F.col("id") == a.outer()).exists()
+        return ~found if p.op == "not-under" else found
 
     def quantified(self, q: Quantified) -> Column:
         """any, exists and in are EXISTS; all also demands a child and none that fails."""

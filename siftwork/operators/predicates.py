@@ -24,15 +24,14 @@ def _either(null_kept: Column, a: Column) -> Column:
     return null_kept | a.isNull()
 
 
-def escaped(v: str) -> str:
-    return v.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
-
-
 def _like(a: Column, before: str, v: str, after: str, escape: bool) -> Column:
-    """Wildcards in ``v`` act as such unless ``escape``; plain text uses the faster forms."""
-    if escape or not set(v) & {"%", "_", "\\"}:
+    """Wildcards in ``v`` act as such unless ``escape``; plain text uses the faster forms.
+
+    A backslash is a character like any other.
+    """
+    if escape or not set(v) & {"%", "_"}:
         return a.contains(v) if before and after else a.startswith(v) if after else a.endswith(v)
-    return a.like(before + v + after)
+    return a.like(before + v.replace("\\", "\\\\") + after)
 
 
 def _bounds(a: Column, b: dates.Bounds, low) -> Column:

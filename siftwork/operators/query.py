@@ -17,6 +17,8 @@ from .lowering import Lowering, Scope, UnsupportedQuery, first_rows, read
 DEFAULT_PAGE_SIZE = 5000
 RECORD_COUNT_LIMIT = 50_000
 HINTS = {"HashJoin": "shuffle_hash", "MergeJoin": "merge", "LoopJoin": "broadcast"}
+#: Estimated bytes up to which the broadcast hint is passed on; beyond it Spark chooses.
+BROADCAST_BYTES = 64 << 20
 #: Hints without a counterpart here; accepted and noted in the plan.
 NEUTRAL_HINTS = ("ForceOrder", "DisableRowGoal", "EnableOptimizerHotfixes", "NoPerformanceSpool", "EnableHistAmendmentForAscKeys")
 
@@ -35,6 +37,11 @@ class RecordCount:
     limit_exceeded: bool
 
 
+def _estimate(df: DataFrame) -> int:
+    """Catalyst's upper estimate of a plan's bytes."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
 class Group:
     """What a grouped projection sees: the key and the aggregates of the group."""
 
@@ -104,6 +111,7 @@ class Query:
     captures: tuple = ()
     result_type: Any = None
     options: tuple = ()
+    plan_only: bool = False
 
     @staticmethod
     def of(catalog, name: str, columns: tuple, alias: str | None) -> Query:
@@ -296,12 +304,12 @@ class Query:
                     shape = {name: shape}
                 df = hide(df) if orders else df
                 df = df.select(*(low.column(v).alias(k) for k, v in shape.items()), *(F.col(c) for c in kept()))
-                scope.projected = list(shape)
+                scope.projected, scope.later = list(shape), []
             elif step[0] == "distinct":
                 if hidden:
                     names = scope.projected
                     orders, hidden = [], 0
-                    df = df.select(*(F.col(f"`{c}`") for c in names))
+                    df = df.select(*(F.col(f"`{c}`") for c in names), *(F.col(f"`{c}`") for c in df.columns if any(c.startswith(f"{scope.prefix[a]}__") for a in scope.later)))
                 df = df.distinct()
             elif step[0] == "take":
                 df = sort(df).limit(step[1])
@@ -326,13 +334,15 @@ class Query:
         if kind.endswith("first"):
             right = first_rows(right, rk, [c.desc() if d else c.asc() for c, d in picks])
         for h in self.hints:
-            if h in HINTS:
+            if h in HINTS and (HINTS[h] != "broadcast" or _estimate(right) <= BROADCAST_BYTES):
                 right = right.hint(HINTS[h])
         lk = low.column(outer_key(scope.ref()))
         e, prefix = other.entities[inner.alias], other.prefix[inner.alias]
         scope.entities[alias], scope.columns[alias], scope.prefix[alias] = e, other.columns[inner.alias], prefix
-        if kind in ("inner", "left"):
-            orders.extend(picks)
+        if scope.projected is not None:
+            scope.later.append(alias)
+        # The inner query's order, its first key first, follows the outer one's.
+        orders.extend(picks)
         return df.join(right, lk == rk, "left" if kind.startswith("left") else "inner")
 
     def _grouped(self, df, low, scope, group, f):
@@ -357,7 +367,7 @@ class Query:
         aggs = scope.aggregates or [F.count(F.lit(1)).alias("__agg_none")]
         grouped = df.groupBy(*keys.values()).agg(*aggs) if keys else df.agg(*aggs)
         out = grouped.select(*final, *(c.alias(f"__o{i}") for i, (c, _) in enumerate(ordering)))
-        scope.aggregates, scope.projected = None, list(shape)
+        scope.aggregates, scope.projected, scope.later = None, list(shape), []
         return out, [(F.col(f"__o{i}"), d) for i, (_, d) in enumerate(ordering)]
 
     def to_df(self) -> DataFrame:
@@ -371,25 +381,32 @@ class Query:
             df = df.orderBy(*(c.desc() if d else c.asc() for c, d in ordered), *ties).offset((self.page_number - 1) * size).limit(size)
         elif ordered:
             df = df.orderBy(*(c.desc() if d else c.asc() for c, d in ordered))
-        if names is not None:
-            return df.select(*(F.col(f"`{c}`") for c in names))
         s = low.scope
+        if names is not None:
+            return df.select(*(F.col(f"`{c}`") for c in names), *(low.struct(EntityRef(s, a)).alias(a) for a in s.later))
         if len(s.columns) == 1:
             prefix = s.prefix[self.alias]
             return df.select(*(F.col(f"`{prefix}__{c}`").alias(c) for c in s.columns[self.alias]))
         return df.select(*(low.struct(EntityRef(s, a)).alias(a) for a in s.columns))
 
     # ------------------------------------------------------------ inspection
-    def to_xml(self) -> str:
-        from ..functions.xmlplan import to_xml
-
-        return to_xml(self)
+    def to_xml(self, terminal: Callable[[Query], Any] | None = None) -> str:
+        """The plan as text: the query's, or that of ``terminal`` (say ``lambda q: q.count()``), which doesn't run."""
+        if terminal is None:
+            from ..functions.xmlplan import to_xml
+
+            return to_xml(self)
+        try:
+            terminal(replace(self, plan_only=True))
+        except decode.PlanOnly as e:
+            return e.plan
+        raise ValueError("the function called no terminal of the query")
 
     def explain(self, mode: str = "formatted") -> None:
         self.to_df().explain(mode)
 
-    def _announce(self) -> None:
-        decode.announce(self)
+    def _announce(self, top: int | None = None, aggregate: tuple | None = None) -> None:
+        decode.announce(self, top, aggregate)
 
     # ------------------------------------------------------------ terminals
     def to_list(self) -> list:
@@ -407,6 +424,8 @@ class Query:
     def for_each_page(self, f: Callable[[list], Any]) -> None:
         """Call ``f`` with each page in turn; stop where it returns False."""
         size, page, first = self.page_size or DEFAULT_PAGE_SIZE, [], True
+        if self.plan_only:
+            self._announce()
         for r in self.to_df().toLocalIterator(prefetchPartitions=True):
             if not page:
                 self._announce()
@@ -424,7 +443,7 @@ class Query:
 
     def _some(self, n: int, f) -> list:
         q = self.where(f) if f else self
-        q._announce()
+        q._announce(top=n)
         return [decode.materialise(self, r) for r in q.to_df().limit(n).collect()]
 
     def first(self, f=None):
@@ -450,7 +469,7 @@ class Query:
 
     def count(self, f=None) -> int:
         q = self.where(f) if f else self
-        q._announce()
+        q._announce(aggregate=("count", None))
         df = q.to_df()
         if self.aggregate_limit is not None and df.limit(self.aggregate_limit + 1).count() > self.aggregate_limit:
             raise OverflowError(f"more than {self.aggregate_limit} rows would be aggregated")
@@ -470,7 +489,7 @@ class Query:
         return df.agg({"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}[func](c).alias("value"))
 
     def _scalar(self, func: str, f):
-        self._announce()
+        self._announce(aggregate=(func, f))
         v = self.aggregate_df(func, f).first()[0]
         if v is None:
             raise EmptySequence(f"{func} of no values")
@@ -489,7 +508,7 @@ class Query:
         return self._scalar("avg", f)
 
     def count_column(self, f=None) -> int:
-        self._announce()
+        self._announce(aggregate=("countcolumn", f))
         return self.aggregate_df("count", f).first()[0]
 
 

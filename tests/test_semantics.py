@@ -229,3 +229,62 @@ def test_hierarchies_of_any_depth_and_cycles(spark):
     ids = lambda df: sorted(r.id for r in df.collect())
     assert ids(hierarchy.below(chain, "id", "parent", 0, True)) == list(range(71))
     assert ids(hierarchy.below(chain, "id", "parent", 100, True)) == [100, 101]
+
+
+def chain(spark, rows):
+    """A catalog of one self-referencing entity of (id, parent) rows."""
+    import tempfile
+
+    where = tempfile.mkdtemp() + "/node.parquet"
+    spark.createDataFrame(rows, "id long, parent long").coalesce(2).write.parquet(where)
+    return Catalog(spark, [Entity("node", where, "id", parent="parent")])
+
+
+def test_hierarchies_of_any_depth_and_cycles(spark):
+    c = chain(spark, [(i, i - 1 if i > 1 else None) for i in range(1, 301)] + [(2001, 2003), (2002, 2001), (2003, 2002), (3001, 150)])
+    ids = lambda f: sorted(r.id for r in c.query("node").where(f).to_df().collect())
+    assert ids(lambda r: r.id.under(1)) == [*range(2, 301), 3001]
+    assert ids(lambda r: r.id.above(300)) == list(range(1, 300))
+    assert ids(lambda r: r.id.under_or_equal(2001)) == [2001, 2002, 2003]
+    assert ids(lambda r: r.id.not_under(2)) == [1, 2, 2001, 2002, 2003]
+    plan = c.query("node").where(lambda r: r.id.not_under(2)).to_df()._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "LeftAnti" in plan
+
+
+def test_backslashes_are_plain_characters(spark, tmp_path):
+    rows = [(1, "a\\bc"), (2, "a%"), (3, "zz"), (4, "x\\"), (5, None), (6, "a\\b%c")]
+    spark.createDataFrame(rows, "id long, v string").write.parquet(f"{tmp_path}/t.parquet")
+    c = Catalog(spark, [Entity("t", f"{tmp_path}/t.parquet", "id")])
+    ids = lambda f: sorted(r.id for r in c.query("t").where(f).to_df().collect())
+    assert ids(lambda r: r.v.startswith("a\\")) == [1, 6] and ids(lambda r: r.v.contains("\\")) == [1, 4, 6] and ids(lambda r: r.v.endswith("\\")) == [4]
+    assert ids(lambda r: ~r.v.contains("\\")) == [2, 3, 5] and ids(lambda r: r.v.startswith("a\\%c")) == [1, 6]
+
+
+def test_plans_of_terminals_that_do_not_run(c):
+    q = c.query("account").where(lambda r: r.id == "a001").order_by(lambda r: r.id)
+    seen = []
+    count = q.to_xml(lambda q: q.count())
+    assert 'aggregate="count"' in count and "<order" not in count and "a001" in count
+    assert 'aggregate="max"' in q.to_xml(lambda q: q.max(lambda r: r.id)) and 'top="1"' in q.to_xml(lambda q: q.first()) and 'top="2"' in q.to_xml(lambda q: q.single())
+    assert "all-attributes" in q.to_xml(lambda q: q.to_list()) and "all-attributes" in q.to_xml(lambda q: q.for_each_page(print))
+    q.capture_plan(seen.append).count()
+    assert seen == [count]
+    with pytest.raises(ValueError):
+        q.to_xml(lambda q: None)
+
+
+def test_comparers_are_refused(c):
+    with pytest.raises(UnsupportedPredicate):
+        c.query("account").where(lambda r: r.id.is_in(["a"], comparer=str.lower)).to_df()
+
+
+def test_joins_after_a_projection(spark, tmp_path):
+    spark.createDataFrame([(1, "x", 10), (2, "y", 20), (3, "z", None)], "id long, n string, fk long").write.parquet(f"{tmp_path}/t.parquet")
+    spark.createDataFrame([(10, "p", 1), (20, "q", 2)], "id long, v string, w long").write.parquet(f"{tmp_path}/u.parquet")
+    c = Catalog(spark, [Entity("t", f"{tmp_path}/t.parquet", "id"), Entity("u", f"{tmp_path}/u.parquet", "id")])
+    q = c.query("t").select(lambda r: {"k": r.fk, "n": r.n}).join(c.query("u").order_by(lambda r: r.w, True).then_by(lambda r: r.v), lambda r: r.k, lambda r: r.id)
+    assert [(r.k, r.n, r.u.v) for r in q.to_df().collect()] == [(20, "y", "q"), (10, "x", "p")]
+    assert [r.n for r in q.where(lambda r: r.u.v == "p").to_df().collect()] == ["x"]
+    assert [tuple(r) for r in q.where(lambda r: r.u.w > 1).select(lambda r: {"a": r.n, "b": r.u.v}).to_df().collect()] == [("y", "q")]
+    grouped = q.group_by(lambda r: r.u.v).select(lambda g: {"v": g.key, "n": g.count()}).to_df().collect()
+    assert sorted(tuple(r) for r in grouped) == [("p", 1), ("q", 1)]
