@@ -39,7 +39,7 @@ class RecordCount:
 
 def _estimate(df: DataFrame) -> int:
     """Catalyst's upper estimate of a plan's bytes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 class Group:
