@@ -136,3 +136,28 @@ def test_classifier_learns_and_holds_out(spark, prose):
     none = quality.train(df, labels.limit(0))
     assert {r.score for r in quality.score_documents(df.limit(3), none).collect()} == {0.5}
     assert quality.score_documents(frame(spark, []), model).count() == 0
+
+
+def test_passages_of_51_words_wherever_they_begin(spark, prose):
+    """Mid-sentence, unpunctuated, of few words; two texts under one id and null ids are told apart."""
+    passages = [prose(51), prose(51).replace(".", ""), " ".join(prose(6).split()[i * i % 6] for i in range(60))]
+    rows = []
+    for k, p in enumerate(passages):
+        for j in range(8):
+            rows.append((100 * k + j, prose(13 + 7 * j) + " " + p + " " + prose(30)))
+    rows += [(900, prose(80)), (901, prose(80)), (902, prose(80).upper())]
+    shared = prose(60)
+    rows += [(950, prose(20) + " " + shared), (950, shared + " " + prose(20)), (None, prose(33) + " " + shared), (None, prose(70))]
+    got = substrings.repeated_passages(frame(spark, rows)).collect()
+    assert {r.doc_id for r in got} == {100 * k + j for k in range(3) for j in range(8)} | {950, None}
+    assert all(20 <= r.n_words <= 62 for r in got) and sum(r.doc_id == 950 for r in got) == 2 and sum(r.doc_id is None for r in got) == 1
+
+
+def test_lines_of_null_ids_and_other_scripts(spark, prose):
+    line = "\u65e5\u672c\u8a9e\u306e\u6587\u7ae0\u3067\u3059\u3002" * 3
+    rows = [(None, f"{line}\nfirst one"), (None, f"other\n{line}"), (1, f"{line}!\nkept"), (1, f"{line}\nkept as well")]
+    got = sorted(r.text for r in linededup.dedup_lines(frame(spark, rows)).collect())
+    assert sum(line in t for t in got) == 1 and len(got) == 4 and {"kept", "kept as well"} <= set(got)
+    many = spark.range(300).selectExpr("cast(null as long) as doc_id", "concat('unlike ', sha2(cast(id as string), 256), '\n', 'the same line in all of them') as text")
+    out = [r.text for r in linededup.dedup_lines(many).collect()]
+    assert len(out) == 300 and sum("the same line" in t for t in out) == 1
