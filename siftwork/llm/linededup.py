@@ -30,11 +30,11 @@ def removed_lines(docs: DataFrame, *, threshold: float = 0.8, bands: int = 8, ro
     each = materialise(lines.groupBy("uid").agg(F.min(place).alias("first"), F.max(place).alias("last")), "each")
     joined = each.where("first <> last").select("uid", "first").join(classes.select(F.col("node").alias("uid"), "component"), "uid", "full_outer")
     known = joined.select("uid", F.coalesce("component", "uid").alias("component"))
-    firsts = each.join(known, "uid").groupBy("component").agg(F.min("first").alias("first"))
-    kept = materialise(known.join(firsts, "component").select("uid", F.col("first.doc").alias("fd"), F.col("first.th").alias("fh"), F.col("first.no").alias("fn")), "kept")
+    firsts = materialise(each.join(known, "uid").groupBy("component").agg(F.min("first").alias("first")), "firsts")
+    kept = materialise(known.join(neardup.bounded(firsts), "component").select("uid", F.col("first.doc").alias("fd"), F.col("first.th").alias("fh"), F.col("first.no").alias("fn")), "kept")
     gone = lines.select("uid", "doc", "th", "no").join(neardup.bounded(kept), "uid").where("doc <> fd or th <> fh or no <> fn")
     out = materialise(gone.groupBy("doc", "th").agg(F.collect_set("no").alias("nos")), "gone")
-    discard(lines, classes, each, kept)
+    discard(lines, classes, each, firsts, kept)
     return out
 
 
