@@ -37,11 +37,14 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session leaves it unset (single-process tests) a temporary folder
-    is made once and recorded under that name.
+    Where a local session leaves it unset (tests) a temporary folder is made once and
+    recorded under that name; on a cluster that is an error, as each machine would
+    write to a disk of its own.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="siftwork-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
