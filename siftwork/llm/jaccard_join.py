@@ -110,7 +110,7 @@ def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: fl
         sized = materialise(now.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > small), "counts")
         if sized.isEmpty():
             return now if done is None else done.unionByName(now)
-        big = now.join(sized, "key", "left_semi")
+        big = materialise(now.join(sized, "key", "left_semi"), "big")
         apart = sized.join(neardup.dense(big, sets, threshold, expand), "key", "left_anti").select("key")
         apart = materialise(apart, "apart")
         fine = now.join(apart, "key", "left_anti")
@@ -133,7 +133,7 @@ def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: fl
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(owners, pa.int64())], ["key", "uid"])
 
-        parents = now.join(apart, "key", "left_semi").join(sets, "uid").select("key", "uid", "set")
+        parents = sets.join(neardup.bounded(now.join(apart, "key", "left_semi")), "uid").select("key", "uid", "set")
         now = neardup.live_buckets(materialise(parents.mapInArrow(run, "key long, uid long"), "split"))
     return done.unionByName(now)
 

@@ -386,7 +386,10 @@ def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int
             b += uids[hit].tolist()
         return _edges(a, b)
 
-    second = by_group(mine.unionByName(theirs).join(sets, "uid"), ["key", "block", "part"], meet, _EDGE).select("a", "b")
+    # Few sets take part, so the rows that name them go to the sets, not the sets to the rows.
+    both = materialise(mine.unionByName(theirs), "both")
+    met = sets.join(bounded(both), "uid").select("key", "uid", "mine", "block", "part", "set")
+    second = by_group(met, ["key", "block", "part"], meet, _EDGE).select("a", "b")
     return out.unionByName(materialise(second, "links"))
 
 
@@ -397,8 +400,8 @@ def dense(buckets: DataFrame, sets: DataFrame, threshold: float, expand=as_sets)
     linking it to its first member settles it in one pass.
     """
     heads = buckets.groupBy("key").agg(F.min("uid").alias("uid"))
-    heads = materialise(heads.join(sets, "uid").select("key", F.col("set").alias("head_set")), "heads")
-    rows = buckets.join(sets, "uid").join(bounded(heads, F.length("head_set")), "key").select("key", "set", "head_set")
+    heads = materialise(sets.join(bounded(heads), "uid").select("key", F.col("set").alias("head_set")), "heads")
+    rows = sets.join(bounded(buckets), "uid").join(bounded(heads, F.length("head_set")), "key").select("key", "set", "head_set")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
