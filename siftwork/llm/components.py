@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, ship
+from .common import discard, lean, materialise, ship
 
 #: Links that one task joins up.
 ONE_TASK = 1_000_000
@@ -63,7 +63,7 @@ def connected_components(edges: DataFrame, rounds: int = 40, one_task: int = ONE
     pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
     few = materialise(pairs, "links")
     if few.count() <= one_task:
-        return few.coalesce(1).mapInArrow(_one_task, "node long, component long")
+        return few.coalesce(1).mapInArrow(lean(_one_task), "node long, component long")
     now = materialise(few.distinct(), "links")
     discard(few)
     before = _state(now)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import neardup
-from .common import chunks, discard, materialise, ship
+from .common import chunks, discard, lean, materialise, ship
 from .components import connected_components
 from .textkernel import Words, mix, shingles
 
@@ -85,7 +85,7 @@ def sampled_keys(docs: DataFrame, n: int, threshold: float, runs: int) -> DataFr
             listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), listed, pa.array(sizes, pa.int64()), pa.array(bits, pa.binary())], ["uid", "keys", "n", "bits"])
 
-    return docs.mapInArrow(run, "uid long, keys array<bigint>, n long, bits binary")
+    return docs.mapInArrow(lean(run), "uid long, keys array<bigint>, n long, bits binary")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -97,7 +97,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         for b in batches:
             yield from neardup.set_batches(zip(b.column(0).to_pylist(), (s.tobytes() for s in text_sets(b.column(1).to_pylist(), n)), strict=True))
 
-    return found.mapInArrow(run, "uid long, set binary").dropDuplicates(["uid"])
+    return found.mapInArrow(lean(run), "uid long, set binary").dropDuplicates(["uid"])
 
 
 def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: float, runs: int, depth: int, expand=neardup.as_sets) -> DataFrame:
@@ -134,7 +134,7 @@ def split_buckets(buckets: DataFrame, sets: DataFrame, small: int, threshold: fl
                 yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(owners, pa.int64())], ["key", "uid"])
 
         parents = sets.join(neardup.bounded(now.join(apart, "key", "left_semi")), "uid").select("key", "uid", "set")
-        now = neardup.live_buckets(materialise(parents.mapInArrow(run, "key long, uid long"), "split"))
+        now = neardup.live_buckets(materialise(parents.mapInArrow(lean(run), "key long, uid long"), "split"))
     return done.unionByName(now)
 
 

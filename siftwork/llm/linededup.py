@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import neardup, units
-from .common import discard, materialise, ship
+from .common import discard, lean, materialise, ship
 
 #: Removed lines that a broadcast may hold.
 BROADCAST_LINES = 2_000_000
@@ -80,5 +80,5 @@ def dedup_lines(docs: DataFrame, *, threshold: float = 0.8, bands: int = 8, rows
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts)], [*names, "_removed"])
 
     fields = ", ".join(f"{n} {t}" for n, (_, t) in zip(names, docs.dtypes, strict=True))
-    out = joined.mapInArrow(run, f"{fields}, _removed bigint")
+    out = joined.mapInArrow(lean(run), f"{fields}, _removed bigint")
     return out.toDF(*docs.columns, removed_col) if removed_col else out.drop("_removed").toDF(*docs.columns)

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, discard, materialise
+from .common import chunks, discard, lean, materialise
 from .textkernel import mix
 
 #: Bytes of sets that one task takes of one bucket.
@@ -217,7 +217,7 @@ def by_group(df: DataFrame, keys: list[str], f, schema: str) -> DataFrame:
         if pending:
             yield from pa.concat_tables(pending).combine_chunks().to_batches()
 
-    return placed.mapInArrow(run, schema)
+    return placed.mapInArrow(lean(run), schema)
 
 
 def _starts(t: pa.Table, keys: int) -> np.ndarray:
@@ -363,7 +363,7 @@ def links(buckets: DataFrame, sets: DataFrame, threshold: float, part_bytes: int
                 yield from _edges(key[order][out], uids[out], np.ones(out.sum(), bool)).to_batches()
 
     placed = dealt.select("key", "part", "uid", "head", "parts").join(sets, "uid").select("key", "part", "uid", "head", "parts", "set")
-    first = materialise(placed.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(linked, _EDGE), "links")
+    first = materialise(placed.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(lean(linked), _EDGE), "links")
     over = first.where("left").select(F.col("a").alias("key"), F.col("b").alias("uid"))
     out = first.where("not left").select("a", "b")
     if large.isEmpty() or over.isEmpty():
@@ -412,7 +412,7 @@ def dense(buckets: DataFrame, sets: DataFrame, threshold: float, expand=as_sets)
                 near = Members(values, count, np.repeat(np.arange(n), 2)).near(head, head, head + 1, threshold)
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(near)], ["key", "near"])
 
-    shares = rows.mapInArrow(run, "key long, near boolean").groupBy("key").agg(F.avg(F.col("near").cast("double")).alias("share"))
+    shares = rows.mapInArrow(lean(run), "key long, near boolean").groupBy("key").agg(F.avg(F.col("near").cast("double")).alias("share"))
     return materialise(shares.where("share >= 0.5").select("key"), "dense")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import materialise, ship
+from .common import lean, materialise, ship
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, nth bigint"
 BLOCK = 50_000
@@ -143,7 +143,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end
             yield batch_of(rows)
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    pieces = materialise(narrow.mapInArrow(cut, PIECES), "pieces")
+    pieces = materialise(narrow.mapInArrow(lean(cut), PIECES), "pieces")
     counts = pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     # At most ``capacity`` rows reach the driver.
     total = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -162,4 +162,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end
             placed = [pa.array(seq[r] + at // each[r]), pa.array(offset[r] + at % each[r] * length)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], *placed], [*batch.schema.names[:5], "sequence_id", "offset"])
 
-    return numbered.mapInArrow(place, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
+    return numbered.mapInArrow(lean(place), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")

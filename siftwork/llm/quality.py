@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, ship
+from .common import chunks, lean, ship
 from .textkernel import Words
 
 #: Frequent function words of the languages at hand.
@@ -175,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", id_col:
             x = statistics([t or "" for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([r.tobytes() for r in x], pa.binary())], ["id", "y", "x"])
 
-    rows = joined.select("_id", "_t", "_y").mapInArrow(run, "id long, y int, x binary").toArrow()
+    rows = joined.select("_id", "_t", "_y").mapInArrow(lean(run), "id long, y int, x binary").toArrow()
     order = np.argsort(rows.column("id").to_numpy(), kind="stable")
     y = rows.column("y").to_numpy().astype(float)[order]
     x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float32).reshape(-1, N_FEATURES)[order]
@@ -198,7 +198,7 @@ def score_documents(docs: DataFrame, model: Forest, *, threshold: float = 0.3, i
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return narrow.mapInArrow(lean(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model: Forest, *, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
@@ -211,4 +211,4 @@ def keep_good(docs: DataFrame, model: Forest, *, threshold: float = 0.3, text_co
             score = shared.value.score(statistics([t or "" for t in b.column(at).to_pylist()]))
             yield b.filter(pa.array(score >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

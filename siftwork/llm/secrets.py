@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import lean, ship
 
 KINDS = ("assign", "access", "hex", "pem", "jwt", "key", "hexkey")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -214,4 +214,4 @@ def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     ship(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, n_confirmed long, base_sha256 string, spans string")
+    return narrow.mapInArrow(lean(run), "doc_id long, n_assign long, n_access long, n_hex long, n_confirmed long, base_sha256 string, spans string")

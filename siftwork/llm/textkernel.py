@@ -38,6 +38,11 @@ def _pow(base: np.uint64, n: int) -> np.ndarray:
     return have[:n]
 
 
+def forget() -> None:
+    """Drop the tables of powers."""
+    _powers.clear()
+
+
 class Words:
     """Words of a chunk of texts: byte starts and ends, hash, index of the text."""
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import scratch_path, ship
+from .common import lean, scratch_path, ship
 
 NULL_ID = -(2**63)
 
@@ -90,7 +90,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, root: str | None = None,
     where.create_dir(base, recursive=True)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
     placed = narrow.repartitionByRange(F.col("doc"), F.xxhash64("text")).sortWithinPartitions("doc", "text")
-    shards = placed.mapInArrow(_write(root, shared, dtype, end_id), "shard int, name string, n_docs long, n_tokens long").collect()
+    shards = placed.mapInArrow(lean(_write(root, shared, dtype, end_id)), "shard int, name string, n_docs long, n_tokens long").collect()
     listed, before_ids, before_docs = [], 0, 0
     for s in sorted(shards, key=lambda s: s["shard"]):
         listed.append({"name": s["name"], "n_docs": s["n_docs"], "n_tokens": s["n_tokens"], "base": before_ids, "doc_base": before_docs})
@@ -172,4 +172,4 @@ def read_token_files(spark: SparkSession, root: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(docs, mask=docs == NULL_ID), pa.array(off[:-1] + base), pa.array(np.diff(off)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     rows = [(s["name"], s["base"]) for s in index["shards"]]
-    return spark.createDataFrame(rows, "name string, base long").repartition(len(rows)).mapInArrow(run, schema)
+    return spark.createDataFrame(rows, "name string, base long").repartition(len(rows)).mapInArrow(lean(run), schema)

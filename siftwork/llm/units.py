@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import neardup
-from .common import chunks, discard, materialise
+from .common import chunks, discard, lean, materialise
 from .components import connected_components
 from .jaccard_join import runs_for, split_buckets
 from .neardup import ranges
@@ -203,7 +203,7 @@ def unit_rows(docs: DataFrame, kind, bands: int, rows: int) -> DataFrame:
                 listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(u.uid), pa.array(ids[a:b][u.doc]), pa.array(hashes[a:b][u.doc]), pa.array(u.no.astype(np.int32)), pa.array(letters[u.start] - origin), pa.array(letters[u.end] - origin), pa.array(u.words.astype(np.int32)), listed], ["uid", "doc", "th", "no", "start", "end", "words", "keys"])
 
-    return docs.mapInArrow(run, SCHEMA)
+    return docs.mapInArrow(lean(run), SCHEMA)
 
 
 def unit_sets(docs: DataFrame, wanted: DataFrame, kind) -> DataFrame:
@@ -227,7 +227,7 @@ def unit_sets(docs: DataFrame, wanted: DataFrame, kind) -> DataFrame:
 
     # A unit that stands in two texts of one batch of documents may come twice; the
     # tasks that compare sets pass over repeats.
-    return found.mapInArrow(run, "uid long, set binary")
+    return found.mapInArrow(lean(run), "uid long, set binary")
 
 
 def unit_classes(docs: DataFrame, units: DataFrame, kind, *, threshold: float, small: int = 4000, depth: int = 2, recall: float = 0.99) -> DataFrame:
