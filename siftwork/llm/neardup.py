@@ -416,6 +416,108 @@ def dense(buckets: DataFrame, sets: DataFrame, threshold: float, expand=as_sets)
     return materialise(shares.where("share >= 0.5").select("key"), "dense")
 
 
+#: Slots that say how common a large bucket's values are, and members whose values are counted for them.
+SLOTS, SAMPLED = 512, 1_000
+
+
+def _slot(values: np.ndarray) -> np.ndarray:
+    return (mix(values) % np.uint64(SLOTS)).astype(np.int64)
+
+
+def _levels(t: pa.Table, expand) -> bytes:
+    """SLOTS levels of commonness: of each slot's most frequent value among these members."""
+    values, count = expand(t.column("set").to_pylist())
+    pairs = np.unique(np.stack((np.repeat(np.arange(len(count)), count).astype(np.uint64), values)), axis=1)
+    found, often = np.unique(pairs[1], return_counts=True)
+    out = np.zeros(SLOTS, np.uint8)
+    np.maximum.at(out, _slot(found), np.minimum(np.log2(often * 64 / len(count) + 1) * 16, 255).astype(np.uint8))
+    return out.tobytes()
+
+
+def size_edges(most: int, threshold: float) -> np.ndarray:
+    """Least sizes of classes; sets that reach the threshold are in one class or in two that adjoin."""
+    out = [1]
+    while out[-1] <= most or len(out) < 3:
+        out.append(int(out[-1] / threshold + 1e-6) + 1)
+    return np.array([*out, int(out[-1] / threshold + 1e-6) + 1])
+
+
+def prefix_keys(values: np.ndarray, count: np.ndarray, key: np.ndarray, levels: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(member, key) such that any two members of a bucket that reach the threshold share a key.
+
+    All members of bucket ``key`` put their values in one order, rare ones first. Sets
+    of a and b values that reach t share t/(1+t) * (a+b) of them at least, the first of
+    which both have among as many first values as they may lack, plus one. b is only
+    known by its class, so there is a key for each class that b may be in.
+    """
+    of = np.repeat(np.arange(len(count)), count)
+    h = mix(values ^ mix(key)[of])  # one to one within a bucket
+    order = np.lexsort((h, levels[of, _slot(values)], of))
+    h, of = h[order], of[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
+    h, of = h[new], of[new]
+    n = np.bincount(of, minlength=len(count))
+    at = np.concatenate(([0], np.cumsum(n)))[:-1]
+    edges = size_edges(int(n.max(initial=1)), threshold)
+    mine = np.searchsorted(edges, n, "right") - 1
+    members, keys = [], []
+    for step in (-1, 0, 1):
+        other = np.maximum(mine + step, 0)
+        least = np.maximum(edges[other], np.ceil(threshold * n - 1e-6))
+        most = np.minimum(edges[other + 1] - 1, np.floor(n / threshold + 1e-6))
+        shared = np.ceil(threshold / (1 + threshold) * (n + least) - 1e-6)
+        take = np.where((n > 0) & (mine + step >= 0) & (least <= most), np.clip(n - shared + 1, 0, n), 0).astype(np.int64)
+        pair = mix((2 * np.minimum(mine, other) + abs(step) + 1).astype(np.uint64))
+        members.append(np.repeat(np.arange(len(count)), take))
+        keys.append(mix(h[ranges(at, take)[0]] + np.repeat(pair, take)))
+    return np.concatenate(members), np.concatenate(keys)
+
+
+def split_exactly(buckets: DataFrame, sets: DataFrame, small: int, threshold: float, depth: int, expand=as_sets) -> DataFrame:
+    """Split buckets with more than ``small`` members so that no link is lost.
+
+    Members that reach the threshold share a key of ``prefix_keys``, so the links found
+    don't depend on whether a bucket is split. How common values are is estimated on
+    some SAMPLED members of a bucket; that only decides how far it is taken apart. A
+    bucket that is mostly near its first member stays whole (see ``dense``), and what
+    is still large after ``depth`` splits is compared in parts.
+    """
+    done, now = None, buckets
+    for _ in range(depth):
+        sized = materialise(now.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > small), "counts")
+        if sized.isEmpty():
+            break
+        big = materialise(now.join(bounded(sized), "key"), "big")
+        apart = materialise(sized.join(dense(big.select("key", "uid"), sets, threshold, expand), "key", "left_anti").select("key"), "apart")
+        fine = now.join(bounded(apart), "key", "left_anti")
+        done = fine if done is None else done.unionByName(fine)
+        if apart.isEmpty():
+            return done
+        wide = materialise(big.join(bounded(apart), "key", "left_semi"), "wide")
+        some = wide.where(F.pmod(F.xxhash64("uid"), F.col("m")) < SAMPLED).select("key", "uid")
+
+        def weigh(t: pa.Table) -> pa.Table:
+            return pa.table({"key": t.column("key").slice(0, 1), "levels": pa.array([_levels(t, expand)], pa.binary())})
+
+        levels = materialise(by_group(sets.join(bounded(some), "uid").select("key", "set"), ["key"], weigh, "key long, levels binary"), "levels")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i, j in chunks(pc.binary_length(b.column(2)).to_pylist(), CHUNK_BYTES // 8):
+                    values, count = expand(b.column(2)[i:j].to_pylist())
+                    own = np.frombuffer(b"".join(b.column(3)[i:j].to_pylist()), np.uint8).reshape(-1, SLOTS)
+                    members, keys = prefix_keys(values, count, b.column(0)[i:j].to_numpy().view(np.uint64), own, threshold)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), b.column(1)[i:j].take(pa.array(members))], ["key", "uid"])
+
+        parents = sets.join(bounded(wide.select("key", "uid")), "uid").join(bounded(levels, F.length("levels")), "key", "left")
+        parents = parents.select("key", "uid", "set", F.coalesce("levels", F.lit(bytes(SLOTS))).alias("levels"))
+        parts = materialise(parents.mapInArrow(lean(run), "key long, uid long"), "split")
+        now = live_buckets(parts)
+        discard(big, wide, levels, parts)
+    return now if done is None else done.unionByName(now)
+
+
 def count_links(classes: DataFrame, sets: DataFrame, threshold: float, part_bytes: int = PART_BYTES // 2) -> DataFrame:
     """(uid, n): rows whose set reaches the threshold against uid's, its own copies excluded.
 

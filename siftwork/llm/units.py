@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from . import neardup
 from .common import chunks, discard, lean, materialise
 from .components import connected_components
-from .jaccard_join import runs_for, split_buckets
 from .neardup import ranges
 from .textkernel import Words, band_keys, min_hashes, mix
 
@@ -230,14 +229,17 @@ def unit_sets(docs: DataFrame, wanted: DataFrame, kind) -> DataFrame:
     return found.mapInArrow(lean(run), "uid long, set binary")
 
 
-def unit_classes(docs: DataFrame, units: DataFrame, kind, *, threshold: float, small: int = 4000, depth: int = 2, recall: float = 0.99) -> DataFrame:
-    """(node, component) among the units that are near another, different one."""
+def unit_classes(docs: DataFrame, units: DataFrame, kind, *, threshold: float, small: int = 4000, depth: int = 2) -> DataFrame:
+    """(node, component) among the units that are near another, different one.
+
+    ``small`` and ``depth`` decide how large buckets are taken apart, not what is found.
+    """
     keys = units.where("size(keys) > 0").select(F.explode("keys").alias("key"), "uid")
     buckets = neardup.live_buckets(keys)
     near = materialise(buckets.select("uid").distinct(), "near")
     wanted = materialise(units.join(neardup.bounded(near), "uid", "left_semi").groupBy("uid").agg(F.min(F.struct("doc", "th")).alias("d")).select("uid", "d.doc", "d.th"), "wanted")
     sets = materialise(unit_sets(docs, wanted, kind), "sets")
-    buckets = split_buckets(buckets, sets, small, threshold, runs_for(recall, threshold), depth, kind.expand)
+    buckets = neardup.split_exactly(buckets, sets, small, threshold, depth, kind.expand)
     out = materialise(connected_components(neardup.links(buckets, sets, threshold, kind.part_bytes, kind.expand)), "classes")
     discard(near, wanted, sets)
     return out

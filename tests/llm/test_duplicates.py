@@ -1,7 +1,11 @@
 import collections
 import itertools
+import random
 
-from siftwork.llm import jaccard_join, linededup, neardup, quality, substrings
+import numpy as np
+from pyspark.sql import functions as F
+
+from siftwork.llm import jaccard_join, linededup, neardup, quality, substrings, units
 from siftwork.llm.textkernel import Words, shingles
 
 from .conftest import frame
@@ -161,3 +165,36 @@ def test_lines_of_null_ids_and_other_scripts(spark, prose):
     many = spark.range(300).selectExpr("cast(null as long) as doc_id", "concat('unlike ', sha2(cast(id as string), 256), '\n', 'the same line in all of them') as text")
     out = [r.text for r in linededup.dedup_lines(many).collect()]
     assert len(out) == 300 and sum("the same line" in t for t in out) == 1
+
+
+def test_classes_do_not_depend_on_splitting(spark):
+    """op5: pairs of units at the threshold, all in one bucket, that is split or compared whole."""
+    rnd, rows = random.Random(5), []
+    for i in range(1500):
+        line = [rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(81)]
+        rows.append((2 * i, "".join(line)))
+        line[40] = "#"  # shares 66 of 82 shingles
+        rows.append((2 * i + 1, "".join(line)))
+    docs = units.keyed_texts(frame(spark, rows), "doc_id", "text")
+    lines = units.unit_rows(docs, units.Lines(), 1, 1).withColumn("keys", F.array(F.lit(7).cast("long")))
+    found = [sorted(map(tuple, units.unit_classes(docs, lines, units.Lines(), threshold=0.8, small=small).collect())) for small in (40, 10**9)]
+    assert found[0] == found[1] and len(found[1]) == 3000
+
+
+def test_prefix_keys_lose_no_pair():
+    rnd = random.Random(6)
+    for threshold in (0.5, 0.8, 0.9):
+        common = [rnd.getrandbits(64) for _ in range(30)]
+        sets = [[7]]
+        for _ in range(200):
+            own = rnd.sample(common, rnd.randint(1, 30)) + [rnd.getrandbits(64) for _ in range(rnd.randint(0, 4))]
+            sets += [own, own[: rnd.randint(1, len(own))] + own[:2], own + rnd.sample(common, 4)]
+        key = np.full(len(sets), 3, np.uint64)
+        for levels in (np.zeros(neardup.SLOTS, np.uint8), np.arange(neardup.SLOTS).astype(np.uint8)):
+            values, count = np.array(sum(sets, []), np.uint64), np.array([len(x) for x in sets])
+            members, keys = neardup.prefix_keys(values, count, key, np.tile(levels, (len(sets), 1)), threshold)
+            of = collections.defaultdict(set)
+            for m, k in zip(members.tolist(), keys.tolist(), strict=True):
+                of[m].add(k)
+            pairs = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if len({*sets[i]} & {*sets[j]}) >= threshold * len({*sets[i]} | {*sets[j]})]
+            assert len(pairs) > 100 and all(of[i] & of[j] for i, j in pairs)
