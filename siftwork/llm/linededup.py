@@ -26,15 +26,16 @@ def removed_lines(docs: DataFrame, *, threshold: float = 0.8, bands: int = 8, ro
     kind = units.Lines()
     lines = materialise(units.unit_rows(docs, kind, bands, rows), "lines")
     classes = units.unit_classes(docs, lines, kind, threshold=threshold)
-    place = F.struct("doc", "th", "no")
-    each = materialise(lines.groupBy("uid").agg(F.min(place).alias("first"), F.max(place).alias("last")), "each")
-    joined = each.where("first <> last").select("uid", "first").join(classes.select(F.col("node").alias("uid"), "component"), "uid", "full_outer")
-    known = joined.select("uid", F.coalesce("component", "uid").alias("component"))
-    firsts = materialise(each.join(known, "uid").groupBy("component").agg(F.min("first").alias("first")), "firsts")
+    # Only lines that stand in several places or are near another can go.
+    often = lines.groupBy("uid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("uid")
+    joined = often.join(classes.select(F.col("node").alias("uid"), "component"), "uid", "full_outer")
+    known = materialise(joined.select("uid", F.coalesce("component", "uid").alias("component")), "known")
+    found = materialise(lines.select("uid", "doc", "th", "no").join(neardup.bounded(known), "uid"), "found")
+    firsts = materialise(found.groupBy("component").agg(F.min(F.struct("doc", "th", "no")).alias("first")), "firsts")
     kept = materialise(known.join(neardup.bounded(firsts), "component").select("uid", F.col("first.doc").alias("fd"), F.col("first.th").alias("fh"), F.col("first.no").alias("fn")), "kept")
-    gone = lines.select("uid", "doc", "th", "no").join(neardup.bounded(kept), "uid").where("doc <> fd or th <> fh or no <> fn")
+    gone = found.select("uid", "doc", "th", "no").join(neardup.bounded(kept), "uid").where("doc <> fd or th <> fh or no <> fn")
     out = materialise(gone.groupBy("doc", "th").agg(F.collect_set("no").alias("nos")), "gone")
-    discard(lines, classes, each, firsts, kept)
+    discard(lines, classes, known, found, firsts, kept)
     return out
 
 

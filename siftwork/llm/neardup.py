@@ -31,7 +31,7 @@ PART_BYTES = 8_000_000
 #: Members of one bucket that one task takes.
 PART_ROWS = 4_000
 #: Bytes of sets that a task compares at once, if their groups are smaller.
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 #: Rows of a few integers that a broadcast may hold (about 100 MB of them in memory);
 #: beyond it the join is shuffled.
 BROADCAST_ROWS = 2_000_000
@@ -73,6 +73,16 @@ def ranges(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.repeat(first - cut[:-1], count) + np.arange(cut[-1]), cut
 
 
+def stable_order(key: np.ndarray) -> np.ndarray:
+    """``np.argsort(key, kind="stable")``, by sorting the keys' upper bits with the places in the lower ones."""
+    bits = np.uint64(max(len(key) - 1, 1).bit_length())
+    packed = np.sort((key >> bits << bits) | np.arange(len(key), dtype=np.uint64))
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    k = key[order]
+    # Different keys with the same upper bits are rare, unless there are many keys.
+    return np.argsort(key, kind="stable") if (k[1:] < k[:-1]).any() else order
+
+
 class Members:
     """Members of many groups at once, each a set of 64-bit values.
 
@@ -84,12 +94,12 @@ class Members:
     def __init__(self, values: np.ndarray, count: np.ndarray, group: np.ndarray):
         self.group = group
         of = np.repeat(np.arange(len(count)), count)
-        g = group[of]
-        # Equal values of a group have the same 64-bit key; a stable sort keeps a member's repeats together.
-        order = np.argsort(mix(values ^ mix(g.astype(np.uint64) + np.uint64(1))), kind="stable")
-        v, og, om = values[order], g[order], of[order]
+        # Equal values of a group have the same 64-bit key; equal keys stay in order, so a member's repeats are together.
+        key = mix(values ^ np.repeat(mix(group.astype(np.uint64) + np.uint64(1)), count))
+        order = stable_order(key)
+        k, v, om = key[order], values[order], of[order]
         new = np.ones(len(v), bool)
-        new[1:] = (v[1:] != v[:-1]) | (og[1:] != og[:-1])
+        new[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])  # the same key and value: the same group
         fresh = new.copy()
         fresh[1:] |= om[1:] != om[:-1]
         ids, keep = np.empty(len(v), np.int64), np.empty(len(v), bool)
@@ -504,7 +514,7 @@ def split_exactly(buckets: DataFrame, sets: DataFrame, small: int, threshold: fl
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                for i, j in chunks(pc.binary_length(b.column(2)).to_pylist(), CHUNK_BYTES // 8):
+                for i, j in chunks(pc.binary_length(b.column(2)).to_pylist(), CHUNK_BYTES // 2):
                     values, count = expand(b.column(2)[i:j].to_pylist())
                     own = np.frombuffer(b"".join(b.column(3)[i:j].to_pylist()), np.uint8).reshape(-1, SLOTS)
                     members, keys = prefix_keys(values, count, b.column(0)[i:j].to_numpy().view(np.uint64), own, threshold)

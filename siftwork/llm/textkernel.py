@@ -7,6 +7,8 @@ Word hashes are polynomial hashes modulo 2**64 read off one prefix sum.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 
 _ASCII_WORD = np.zeros(256, bool)
@@ -21,7 +23,7 @@ _powers: dict[str, np.ndarray] = {}
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves every output bit."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(27)
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
@@ -57,12 +59,25 @@ class Words:
         isw = _ASCII_WORD[self.bytes]
         edge = np.diff(isw.astype(np.int8), prepend=0, append=0)
         self.starts, self.ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        weighted = (self.bytes.astype(np.uint64) + np.uint64(1)) * _pow(_P, n)
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(weighted, dtype=np.uint64)))
+        total = np.zeros(n + 1, np.uint64)
+        weighted = total[1:]
+        np.add(self.bytes, np.uint64(1), out=weighted)
+        weighted *= _pow(_P, n)
+        np.cumsum(weighted, out=weighted)
         self.total = total
-        self.hash = self.span_hash(self.starts, self.ends)
-        self.doc = np.searchsorted(self.bounds, self.starts, "right") - 1
-        self.first = np.searchsorted(self.starts, self.bounds)  # of each text's words; n+1 long
+
+    @cached_property
+    def hash(self) -> np.ndarray:
+        return self.span_hash(self.starts, self.ends)
+
+    @cached_property
+    def doc(self) -> np.ndarray:
+        return np.searchsorted(self.bounds, self.starts, "right") - 1
+
+    @cached_property
+    def first(self) -> np.ndarray:
+        """Where each text's words begin; one more than there are texts."""
+        return np.searchsorted(self.starts, self.bounds)
 
     def span_hash(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hashes of byte spans: equal bytes give equal hashes, wherever they stand."""

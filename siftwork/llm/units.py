@@ -20,7 +20,7 @@ from .components import connected_components
 from .neardup import ranges
 from .textkernel import Words, band_keys, min_hashes, mix
 
-_CHUNK = 500_000
+_CHUNK = 200_000  # characters whose arrays fit a core's cache
 SCHEMA = "uid long, doc long, th long, no int, start long, end long, words int, keys array<bigint>"
 
 
@@ -37,12 +37,14 @@ class Units:
     start: np.ndarray
     end: np.ndarray
     words: np.ndarray
+    uid: np.ndarray | None = None
 
     def __post_init__(self):
-        self.uid = self.kernel.span_hash(self.start, self.end).view(np.int64)
+        if self.uid is None:
+            self.uid = self.kernel.span_hash(self.start, self.end).view(np.int64)
 
     def take(self, rows: np.ndarray) -> Units:
-        return Units(self.kernel, *(x[rows] for x in (self.doc, self.no, self.start, self.end, self.words)))
+        return Units(self.kernel, *(x[rows] for x in (self.doc, self.no, self.start, self.end, self.words, self.uid)))
 
 
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -53,7 +55,9 @@ def rolling(points: np.ndarray, k: int) -> np.ndarray:
     h, base = np.concatenate((points.astype(np.uint64), np.zeros(k, np.uint64))), _BASE
     width = 1
     while width < k:
-        h = h[:-width] + h[width:] * base
+        far = h[width:] * base
+        far += h[:-width]
+        h = far
         base, width = np.uint64(int(base) * int(base) & (2**64 - 1)), 2 * width
     return h[: len(points)]
 
@@ -237,7 +241,8 @@ def unit_classes(docs: DataFrame, units: DataFrame, kind, *, threshold: float, s
     keys = units.where("size(keys) > 0").select(F.explode("keys").alias("key"), "uid")
     buckets = neardup.live_buckets(keys)
     near = materialise(buckets.select("uid").distinct(), "near")
-    wanted = materialise(units.join(neardup.bounded(near), "uid", "left_semi").groupBy("uid").agg(F.min(F.struct("doc", "th")).alias("d")).select("uid", "d.doc", "d.th"), "wanted")
+    # Any text that has a unit will do; both columns are of the same row.
+    wanted = materialise(units.select("uid", "doc", "th").join(neardup.bounded(near), "uid", "left_semi").groupBy("uid").agg(F.first("doc").alias("doc"), F.first("th").alias("th")), "wanted")
     sets = materialise(unit_sets(docs, wanted, kind), "sets")
     buckets = neardup.split_exactly(buckets, sets, small, threshold, depth, kind.expand)
     out = materialise(connected_components(neardup.links(buckets, sets, threshold, kind.part_bytes, kind.expand)), "classes")

@@ -198,3 +198,12 @@ def test_prefix_keys_lose_no_pair():
                 of[m].add(k)
             pairs = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if len({*sets[i]} & {*sets[j]}) >= threshold * len({*sets[i]} | {*sets[j]})]
             assert len(pairs) > 100 and all(of[i] & of[j] for i, j in pairs)
+
+
+def test_stable_order():
+    """Also of keys that agree in all bits that are sorted but the places."""
+    rnd = np.random.default_rng(7)
+    for n in (0, 1, 2, 3, 1000, 70_000):
+        for top in (2, 50, 2**63):
+            key = rnd.integers(0, top, n).astype(np.uint64) * np.uint64(2)
+            assert (neardup.stable_order(key) == np.argsort(key, kind="stable")).all()
