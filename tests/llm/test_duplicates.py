@@ -207,3 +207,14 @@ def test_stable_order():
         for top in (2, 50, 2**63):
             key = rnd.integers(0, top, n).astype(np.uint64) * np.uint64(2)
             assert (neardup.stable_order(key) == np.argsort(key, kind="stable")).all()
+
+
+def test_split_takes_members_of_a_template_apart(spark):
+    """op5: members that share much, but not enough, meet no more; the only near pair does."""
+    rnd = random.Random(8)
+    common = [rnd.getrandbits(63) for _ in range(12)]
+    sets = [common + [rnd.getrandbits(63) for _ in range(8)] for _ in range(300)]
+    sets.append(sets[0][:-1] + [rnd.getrandbits(63)])
+    held = spark.createDataFrame([(i, bytearray(np.sort(np.array(x, np.uint64)).tobytes())) for i, x in enumerate(sets)], "uid long, set binary")
+    buckets = spark.createDataFrame([(5, i) for i in range(len(sets))], "key long, uid long")
+    assert {r.uid for r in neardup.split_exactly(buckets, held, 50, 0.8, 2).collect()} == {0, 300}
