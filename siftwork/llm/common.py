@@ -10,6 +10,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from . import textkernel
@@ -94,6 +95,12 @@ def chunks(sizes, limit: int):
         yield start, len(sizes)
 
 
+def slices(batch: pa.RecordBatch, column: int, limit: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of near ``limit`` bytes of text, so few texts are Python strings at once."""
+    for a, b in chunks(pc.binary_length(batch.column(column)).fill_null(0).to_pylist(), limit):
+        yield batch.slice(a, b - a)
+
+
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run`` for mapInArrow, whose worker gives its memory back to the system at a task's end.
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import lean, materialise, ship
+from .common import lean, materialise, ship, slices
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, nth bigint"
 BLOCK = 50_000
@@ -127,7 +127,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 4096, end
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             ids = batch.column(0).to_pylist()
             for doc, raw in zip(ids, enc.encode([t or "" for t in batch.column(1).to_pylist()]), strict=True):
                 raw += end

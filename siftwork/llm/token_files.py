@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import lean, scratch_path, ship
+from .common import lean, scratch_path, ship, slices
 
 NULL_ID = -(2**63)
 
@@ -46,9 +46,7 @@ def _write(root: str, shared, dtype: str, end_id: int):
         end = np.array([end_id], dtype).tobytes()
         width, ids, ends, total, first = np.dtype(dtype).itemsize, [], [0], 0, None
         out = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             if out is None:
                 out = where.open_output_stream(f"{base}/{name}.bin")
             docs = batch.column(0).fill_null(NULL_ID).to_pylist()

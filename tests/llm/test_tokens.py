@@ -1,14 +1,16 @@
 import collections
 import itertools
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from siftwork.llm import packing, token_files
+from siftwork.llm import common, packing, token_files
 from siftwork.llm.tokens import UnitEncoder
 
 BYTE, WORD = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -29,6 +31,23 @@ def test_units_give_the_library_s_ids(path):
         assert np.frombuffer(raw, "<u4").tolist() == ids, repr(text)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_few_units_and_texts_are_held_at_once(path):
+    """A worker's memory: a million units at most, and of a batch's texts a slice."""
+    enc = UnitEncoder(open(path).read())
+    for a in range(0, 1_600_000, 100_000):
+        list(enc.encode([" ".join(f"{i:x}" for i in range(a, a + 100_000))]))
+        assert len(enc.cache) + len(enc.older) <= 1_200_000
+    batch, held = pa.RecordBatch.from_pydict({"doc": list(range(400)), "text": ["some words " * 5000] * 400}), []
+    tracemalloc.start()
+    for part in common.slices(batch, 1):
+        held.append((part.num_rows, sum(map(len, part.column(1).to_pylist()))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n for n, _ in held) == 400 and max(b for _, b in held) <= 4_000_000 and peak < 10_000_000
+    assert [b.num_rows for b in common.slices(pa.RecordBatch.from_pydict({"doc": [1, 2], "text": pa.array([None, ""])}), 1)] == [2]
+
+
 def test_files_hold_every_document_in_order(spark, awkward):
     df, rows = awkward
     root = token_files.write_token_files(df, BYTE, end_id=0)
