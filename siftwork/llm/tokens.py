@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -167,20 +168,17 @@ class UnitEncoder:
             if 2 * len(self.cache) > self.keep:
                 self.cache, self.older = {}, self.cache
             parts = [self._units(t) for t in texts[a:b]]
-            found = [list(map(self.cache.get, p)) for p in parts]
-            new: set[str] = set()
-            for p, f in zip(parts, found, strict=True):
-                if None in f:
-                    new.update([u for u, x in zip(p, f, strict=True) if x is None])
             cache, older = self.cache, self.older
+            new = set(chain.from_iterable(parts)).difference(cache)
             if new and older:
                 again = [u for u in new if u in older]
-                cache.update([(u, older[u]) for u in again])
+                cache.update(zip(again, map(older.__getitem__, again), strict=True))
                 new.difference_update(again)
             if new:
                 self._learn(new)
-            for p, f in zip(parts, found, strict=True):
-                yield b"".join([cache[u] if x is None else x for u, x in zip(p, f, strict=True)] if None in f else f)
+            ids = cache.__getitem__
+            for p in parts:
+                yield b"".join(map(ids, p))
 
 
 _encoders: dict[tuple, UnitEncoder] = {}

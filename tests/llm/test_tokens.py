@@ -1,6 +1,7 @@
 import collections
 import itertools
 import random
+import sys
 import tracemalloc
 import zlib
 
@@ -31,6 +32,21 @@ def test_units_give_the_library_s_ids(path):
         assert np.frombuffer(raw, "<u4").tolist() == ids, repr(text)
 
 
+def test_known_units_cost_the_interpreter_nothing():
+    """Lookups of units that a chunk repeats are left to C; the interpreter's loops turn for new units only."""
+    turns, mon, code = [], sys.monitoring, UnitEncoder.encode.__code__
+    enc, texts = UnitEncoder(open(BYTE).read()), ["known words come again " * 5000 + w for w in ("new", "newer")]
+    mon.use_tool_id(4, "turns")
+    mon.register_callback(4, mon.events.JUMP, lambda *_: turns.append(1))
+    mon.set_local_events(4, code, mon.events.JUMP)
+    try:
+        got = list(enc.encode(texts))
+    finally:
+        mon.set_local_events(4, code, 0)
+        mon.free_tool_id(4)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == ids_of(BYTE, texts) and len(turns) < 100
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_few_units_and_texts_are_held_at_once(path):
     """A worker's memory: a million units at most, and of a batch's texts a slice."""
