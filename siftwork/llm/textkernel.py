@@ -40,6 +40,11 @@ def _pow(base: np.uint64, n: int) -> np.ndarray:
     return have[:n]
 
 
+def inner_bytes(raw: np.ndarray) -> np.ndarray:
+    """Places of the bytes 0x80 to 0xBF, which continue a code point."""
+    return np.flatnonzero(raw.view(np.int8) < -64)
+
+
 def forget() -> None:
     """Drop the tables of powers."""
     _powers.clear()
@@ -57,8 +62,10 @@ class Words:
             self.bytes = _LOWER[self.bytes]
         n = len(self.bytes)
         isw = _ASCII_WORD[self.bytes]
-        edge = np.diff(isw.astype(np.int8), prepend=0, append=0)
-        self.starts, self.ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        flips = np.flatnonzero(isw[1:] != isw[:-1]) + 1  # the last byte is a newline, so every word ends
+        if isw[:1].any():
+            flips = np.concatenate(([0], flips))
+        self.starts, self.ends = flips[::2].copy(), flips[1::2].copy()
         total = np.zeros(n + 1, np.uint64)
         weighted = total[1:]
         np.add(self.bytes, np.uint64(1), out=weighted)
@@ -66,6 +73,14 @@ class Words:
         np.cumsum(weighted, out=weighted)
         self.total = total
 
+    @cached_property
+    def inner(self) -> np.ndarray:
+        return inner_bytes(self.bytes)
+
+    def letters(self, at: np.ndarray) -> np.ndarray:
+        """How many code points begin before each byte place."""
+        return at - np.searchsorted(self.inner, at)
+
     @cached_property
     def hash(self) -> np.ndarray:
         return self.span_hash(self.starts, self.ends)

@@ -18,7 +18,7 @@ from . import neardup
 from .common import chunks, discard, lean, materialise
 from .components import connected_components
 from .neardup import ranges
-from .textkernel import Words, band_keys, min_hashes, mix
+from .textkernel import Words, band_keys, inner_bytes, min_hashes, mix
 
 _CHUNK = 200_000  # characters whose arrays fit a core's cache
 SCHEMA = "uid long, doc long, th long, no int, start long, end long, words int, keys array<bigint>"
@@ -52,7 +52,8 @@ _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 def rolling(points: np.ndarray, k: int) -> np.ndarray:
     """Hash of the ``k`` code points from each one on (a power of two); zeros follow the last."""
-    h, base = np.concatenate((points.astype(np.uint64), np.zeros(k, np.uint64))), _BASE
+    h, base = np.zeros(len(points) + k, np.uint64), _BASE
+    h[: len(points)] = points
     width = 1
     while width < k:
         far = h[width:] * base
@@ -95,10 +96,9 @@ class Lines:
 
     def sets(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shingles of the byte spans, end to end, and where each span's begin."""
-        points = raw
-        if raw.max(initial=0) >= 0x80:  # bytes to code points
-            before = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80)))
-            start, end = before[start], before[end]
+        points, inner = raw, inner_bytes(raw)
+        if len(inner):  # bytes to code points
+            start, end = start - np.searchsorted(inner, start), end - np.searchsorted(inner, end)
             points = np.frombuffer(raw.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
         size = end - start
         at, cut = ranges(start, np.maximum(size - self.k + 1, 1))
@@ -194,8 +194,8 @@ def unit_rows(docs: DataFrame, kind, bands: int, rows: int) -> DataFrame:
                 u = kind.units(texts[a:b])
                 if not len(u.doc):
                     continue
-                letters = np.concatenate(([0], np.cumsum((u.kernel.bytes & 0xC0) != 0x80)))
-                origin = letters[u.kernel.bounds[u.doc]]
+                letters = u.kernel.letters
+                origin = letters(u.kernel.bounds[u.doc])
                 keyed = np.zeros(len(u.doc), bool)
                 keyed[np.unique(u.uid, return_index=True)[1]] = True
                 keyed &= u.words >= getattr(kind, "least", 1)
@@ -204,7 +204,7 @@ def unit_rows(docs: DataFrame, kind, bands: int, rows: int) -> DataFrame:
                 keys = band_keys(min_hashes(values, cut, bands * rows), rows)
                 ends = np.concatenate(([0], np.cumsum(keyed * bands))).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(u.uid), pa.array(ids[a:b][u.doc]), pa.array(hashes[a:b][u.doc]), pa.array(u.no.astype(np.int32)), pa.array(letters[u.start] - origin), pa.array(letters[u.end] - origin), pa.array(u.words.astype(np.int32)), listed], ["uid", "doc", "th", "no", "start", "end", "words", "keys"])
+                yield pa.RecordBatch.from_arrays([pa.array(u.uid), pa.array(ids[a:b][u.doc]), pa.array(hashes[a:b][u.doc]), pa.array(u.no.astype(np.int32)), pa.array(letters(u.start) - origin), pa.array(letters(u.end) - origin), pa.array(u.words.astype(np.int32)), listed], ["uid", "doc", "th", "no", "start", "end", "words", "keys"])
 
     return docs.mapInArrow(lean(run), SCHEMA)
 

@@ -1,6 +1,8 @@
 import collections
 import itertools
 import random
+import re
+import tracemalloc
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -218,3 +220,29 @@ def test_split_takes_members_of_a_template_apart(spark):
     held = spark.createDataFrame([(i, bytearray(np.sort(np.array(x, np.uint64)).tobytes())) for i, x in enumerate(sets)], "uid long, set binary")
     buckets = spark.createDataFrame([(5, i) for i in range(len(sets))], "key long, uid long")
     assert {r.uid for r in neardup.split_exactly(buckets, held, 50, 0.8, 2).collect()} == {0, 300}
+
+
+def test_word_and_line_places_without_arrays_a_byte(spark):
+    """Places in bytes and code points against plain Python; kernels hold fewer arrays as long as the text."""
+    rnd, kind = random.Random(4), units.Lines()
+    texts = ["".join(rnd.choice(["a", "Zé", "ß", " ", "\n", ".", "日本", "😀", "\ud800", "x y z abcdefgh"]) for _ in range(rnd.randint(0, 30))) for _ in range(300)]
+    for chunk in ([], [""], ["a"], ["é"], texts):
+        w = Words(chunk)
+        raw = "".join(t.lower() + "\n" for t in chunk).encode("utf-8", "surrogatepass")
+        found = [m.span() for m in re.finditer(rb"[0-9a-z\x80-\xff]+", raw)]
+        assert list(zip(w.starts.tolist(), w.ends.tolist(), strict=True)) == found
+        assert w.letters(w.starts).tolist() == [len(raw[:a].decode("utf-8", "surrogatepass")) for a, _ in found]
+    df = spark.createDataFrame([(1, 1, "é\n\nß. Über\nx😀y"), (2, 1, "日本\n-\n本")], "doc long, th long, text string")
+    got = units.unit_rows(df, kind, 1, 1).select("doc", "no", "start", "end", "words").collect()
+    assert sorted(map(tuple, got)) == [(1, 0, 0, 1, 1), (1, 2, 3, 10, 2), (1, 3, 11, 14, 1), (2, 0, 0, 2, 1), (2, 2, 5, 6, 1)]
+    texts = ["Größe und Maß der Dinge, " * 400 + "\n"] * 20
+    size, u = len("".join(texts).encode()), kind.units(texts)
+    kind.shingles(u)
+    tracemalloc.start()
+    u = kind.units(texts)
+    first, held = tracemalloc.get_traced_memory()[1], tracemalloc.get_traced_memory()[0]
+    tracemalloc.reset_peak()
+    kind.shingles(u)
+    second = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert first < 20 * size and second < 30 * size
