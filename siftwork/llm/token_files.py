@@ -27,6 +27,8 @@ from . import tokens
 from .common import lean, scratch_path, ship, slices
 
 NULL_ID = -(2**63)
+#: Text units that a worker keeps, more than by default, as no other stage holds memory.
+KEEP = 1_800_000
 
 
 def id_type(tokenizer_json: str, end_id: int) -> str:
@@ -42,7 +44,7 @@ def _write(root: str, shared, dtype: str, end_id: int):
         where, base = pafs.FileSystem.from_uri(root)
         ctx = TaskContext.get()
         name = f"part-{ctx.partitionId():06d}-{ctx.taskAttemptId()}"
-        enc = tokens.encoder(shared.value, dtype)
+        enc = tokens.encoder(shared.value, dtype, keep=KEEP)
         end = np.array([end_id], dtype).tobytes()
         width, ids, ends, total, first = np.dtype(dtype).itemsize, [], [0], 0, None
         out = None

@@ -95,26 +95,23 @@ class UnitEncoder:
             return unit[1:]
         return unit if unit[:1] == "\n" else " " + unit
 
-    def _encode(self, units: list[str]) -> dict[str, bytes]:
-        """ids of units none of which is encoded yet."""
+    def _encode(self, units: list[str]) -> None:
+        """Put ids of units none of which is encoded yet into the cache."""
         if any(s in "\n".join(units) for s in self.special):
-            return self._apart(units)
+            self.cache.update(self._apart(units))
+            return
         lines: list[str] = []
         if self.mode == "byte":
             plain = [u for u in units if u and u.isprintable() and " " not in u]
             lines = [u for u in units if u[:1] == "\n" and len(u) > 1 and u[1:].isprintable() and " " not in u]
         else:
             plain = [u for u in units if u.isalpha() and _LETTERS.issuperset(u)]
-        done = self._running(plain, " ")
-        done.update(self._running(lines, ""))
-        if len(done) < len(units):
-            done.update(self._apart([u for u in units if u not in done]))
-        return done
+        if self._running(plain, " ") + self._running(lines, "") < len(units):
+            self.cache.update(self._apart([u for u in units if u not in self.cache]))
 
-    def _running(self, units: list[str], gap: str, step: int = 512) -> dict[str, bytes]:
-        """ids of units as they stand in running text, one edge token to a unit."""
-        out: dict[str, bytes] = {}
-        groups = [units[i : i + step] for i in range(0, len(units), step)]
+    def _running(self, units: list[str], gap: str, step: int = 512) -> int:
+        """Encode units as they stand in running text, one edge token to a unit; how many went into the cache."""
+        done, groups = 0, [units[i : i + step] for i in range(0, len(units), step)]
         before, after = (gap, "") if self.mode == "byte" else ("", gap)
         joined = [before + gap.join(g) + after for g in groups]
         for group, e in zip(groups, self.tok.encode_batch_fast(joined, add_special_tokens=False) if joined else [], strict=True):
@@ -124,8 +121,9 @@ class UnitEncoder:
                 continue
             raw = ids.astype(self.dtype).tobytes()
             cuts = ((np.append(edges, len(ids)) if self.mode == "byte" else np.append(0, edges + 1)) * self.dtype.itemsize).tolist()
-            out.update(zip(group, map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
-        return out
+            self.cache.update(zip(group, map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
+            done += len(group)
+        return done
 
     def _apart(self, units: list[str]) -> dict[str, bytes]:
         """ids of any units, joined by a special token where there is one."""
@@ -153,7 +151,7 @@ class UnitEncoder:
         ending = [u for u in new if u[-1:] in marks and u[-2:-1] in _LETTERS]
         new.difference_update(ending)
         new.update([u[:-1] for u in ending])
-        cache.update(self._encode([u for u in new if u not in cache]))
+        self._encode([u for u in new if u not in cache])
         cache.update([(u, cache[u[:-1]] + marks[u[-1]]) for u in ending])
 
     def encode(self, texts: list[str]):
@@ -184,11 +182,11 @@ class UnitEncoder:
 _encoders: dict[tuple, UnitEncoder] = {}
 
 
-def encoder(tokenizer_json: str, dtype: str = "<u4") -> UnitEncoder:
+def encoder(tokenizer_json: str, dtype: str = "<u4", **bounds: int) -> UnitEncoder:
     """One encoder for each worker process and tokenizer, kept from task to task."""
-    key = (hash(tokenizer_json), len(tokenizer_json), dtype)
+    key = (hash(tokenizer_json), len(tokenizer_json), dtype, *bounds.values())
     if key not in _encoders:
-        _encoders[key] = UnitEncoder(tokenizer_json, dtype)
+        _encoders[key] = UnitEncoder(tokenizer_json, dtype, **bounds)
     return _encoders[key]
 
 
